@@ -4,8 +4,6 @@ The built-in twin of each function is in :mod:`millrace.functions.columns`;
 prefer that. These exist for logic that has no built-in form.
 """
 
-from __future__ import annotations
-
 from collections.abc import Callable, Iterator
 
 import pandas as pd

@@ -68,11 +68,9 @@ def top_products(facts: DataFrame, products: DataFrame, n: int) -> DataFrame:
     per_key = facts.groupBy("product_id").agg(
         F.sum(money("amount")).alias("_r"), F.sum("quantity").cast("double").alias("units")
     )
-    # The first n by (revenue, id) are fixed before names are looked up.
-    best = per_key.orderBy(F.desc("_r"), F.asc("product_id")).limit(n)
-    return best.join(products, "product_id").select(
-        "product_id", "product_name", "category", F.col("_r").cast("double").alias("revenue"), "units"
-    )
+    named = per_key.join(products.select("product_id", "product_name", "category"), "product_id")
+    best = named.orderBy(F.desc("_r"), F.asc("product_id")).limit(n)
+    return best.select("product_id", "product_name", "category", F.col("_r").cast("double").alias("revenue"), "units")
 
 
 def daily_revenue(facts: DataFrame, date_column: str = "order_date", amount: str = "amount") -> DataFrame:

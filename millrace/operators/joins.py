@@ -15,7 +15,7 @@ OPEN_END = "9999-12-31"
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate for the optimized plan."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import money
+from millrace.functions.columns import as_column, money
 from millrace.operators.skew import MAX_PIECES, MIN_PIECE_ROWS, OrderedSplit
 
 
@@ -115,13 +115,13 @@ def growth_by_month(df: DataFrame, ts: str, amount: str) -> DataFrame:
     )
 
 
-def streaks(df: DataFrame, key: str, date_column: str) -> DataFrame:
+def streaks(df: DataFrame, key: str, day: str | Column) -> DataFrame:
     """Runs of consecutive days per key: first day, last day, length.
 
     Days are made distinct before the window, so a partition holds at most one
     row per calendar day.
     """
-    days = df.select(key, F.col(date_column).alias("_d")).distinct()
+    days = df.select(key, as_column(day).alias("_d")).distinct()
     position = F.row_number().over(Window.partitionBy(key).orderBy("_d"))
     return (
         days.withColumn("_island", F.date_sub("_d", position))
