@@ -71,8 +71,9 @@ def dq_status_only(spark, sf_dir):
 
 @query(
     "dq_reconcile",
-    f"""WITH {roles.CLEAN} SELECT 'reconcile' AS check_name, CAST(0 AS BIGINT) AS failures,
-        (SELECT sum(CAST(amount AS DECIMAL(18,2))) FROM clean) IS NOT NULL AS passed""",
+    f"""WITH {roles.CLEAN}, a AS (SELECT sum(CAST(amount AS DECIMAL(18,2))) AS x FROM clean),
+        b AS (SELECT sum(CAST(amount AS DECIMAL(18,2))) AS y FROM (SELECT order_id, amount FROM clean GROUP BY ALL))
+        SELECT 'reconcile' AS check_name, CAST(x <> y AS BIGINT) AS failures, x = y AS passed FROM a, b""",
 )
 def dq_reconcile(spark, sf_dir):
     cleaned = clean(spark, sf_dir)

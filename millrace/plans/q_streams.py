@@ -14,8 +14,9 @@ EVENTS = "SELECT event_id, ts, user_id, event_type, value FROM events"
 
 
 def _events(spark, sf_dir, zoned=True):
-    path = f"{sf_dir}/events.parquet"
-    stream = S.stream_files(spark, path, spark.read.parquet(path).schema).drop("props")
+    # The file stream wants a folder or a pattern; this pattern fits a file and a folder.
+    schema = table(spark, sf_dir, "events").schema
+    stream = S.stream_files(spark, f"{sf_dir}/events*.parquet", schema).drop("props")
     return S.with_event_time(stream, "ts") if zoned else stream
 
 
@@ -60,7 +61,8 @@ def _logged(spark, stream, label, keys):
     return S.read_change_log(spark, f"{out}/log", stream.schema, keys)
 
 
-COUNTS = [F.count(F.lit(1)).alias("n")]
+def _counts():
+    return [F.count(F.lit(1)).alias("n")]
 
 
 @query(
@@ -70,7 +72,7 @@ COUNTS = [F.count(F.lit(1)).alias("n")]
        FROM events GROUP BY 1, 2, 3""",
 )
 def stream_tumbling(spark, sf_dir):
-    counts = S.tumbling(_events(spark, sf_dir), "ts", "10 minutes", "1 hour", ["event_type"], COUNTS)
+    counts = S.tumbling(_events(spark, sf_dir), "ts", "10 minutes", "1 hour", ["event_type"], _counts())
     return _plain(_logged(spark, counts, "tumbling", ["window_start", "event_type"]), "window_start", "window_end")
 
 
@@ -85,7 +87,7 @@ def stream_tumbling(spark, sf_dir):
 )
 def stream_sliding_trending(spark, sf_dir):
     """The three most active users of every twelve hours, every six hours."""
-    counts = S.sliding(_events(spark, sf_dir), "ts", "12 hours", "6 hours", "1 hour", ["user_id"], COUNTS)
+    counts = S.sliding(_events(spark, sf_dir), "ts", "12 hours", "6 hours", "1 hour", ["user_id"], _counts())
     logged = _logged(spark, counts, "trending", ["window_start", "user_id"])
     top = top_n_per_group(logged, ["window_start"], [F.desc("n"), F.asc("user_id")], 3)
     return _plain(top, "window_start", "window_end")
@@ -93,7 +95,7 @@ def stream_sliding_trending(spark, sf_dir):
 
 @query(
     "stream_session",
-    """WITH e AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w >= INTERVAL 30 MINUTE
+    """WITH e AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w > INTERVAL 30 MINUTE
                          THEN 1 ELSE 0 END AS s FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
        g AS (SELECT user_id, ts, sum(s) OVER (PARTITION BY user_id ORDER BY ts) AS sid FROM e),
        f AS (SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS n
@@ -103,7 +105,7 @@ def stream_sliding_trending(spark, sf_dir):
 def stream_session(spark, sf_dir):
     """Finished sessions only: append mode holds a session back until the watermark passes its end."""
     out = scratch_path(spark, "sessions")
-    found = S.sessions(_events(spark, sf_dir), "ts", "30 minutes", "10 minutes", ["user_id"], COUNTS)
+    found = S.sessions(_events(spark, sf_dir), "ts", "30 minutes", "10 minutes", ["user_id"], _counts())
     S.run_to_end(S.append_files(found, f"{out}/data"), f"{out}/checkpoint")
     return _plain(spark.read.schema(found.schema).parquet(f"{out}/data"), "session_start", "session_end")
 
@@ -191,12 +193,12 @@ def stream_route(spark, sf_dir):
 def hot_cold_split(spark, sf_dir):
     out = scratch_path(spark, "split")
     events = _events(spark, sf_dir)
-    live = S.tumbling(events, "ts", "1 day", "1 hour", ["event_type"], COUNTS)
+    live = S.tumbling(events, "ts", "1 day", "1 hour", ["event_type"], _counts())
     hot, cold = S.hot_cold(events, live, "ts", out)
     S.run_to_end(hot, f"{out}/checkpoint_hot")
     S.run_to_end(cold, f"{out}/checkpoint_cold")
     counts = S.read_change_log(spark, f"{out}/hot", live.schema, ["window_start", "event_type"])
-    history = spark.read.schema(events.schema).parquet(f"{out}/cold")
-    sides = {"hot": counts.groupBy("event_type").agg(F.sum("n").alias("n")), "cold": history.groupBy("event_type").agg(*COUNTS)}
+    history = S.read_batches(spark, f"{out}/cold", events.schema)
+    sides = {"hot": counts.groupBy("event_type").agg(F.sum("n").alias("n")), "cold": history.groupBy("event_type").agg(*_counts())}
     hot_rows, cold_rows = (df.withColumn("side", F.lit(s)) for s, df in sides.items())
     return hot_rows.unionByName(cold_rows)

@@ -56,6 +56,9 @@ def each_batch(stream: DataFrame, work: Callable[[DataFrame, int], None], mode:
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_columns: Sequence[str] = ()) -> None:
+    """One folder per batch; partition folders get few, evenly sized files."""
+    if partition_columns:
+        df = df.hint("rebalance", *partition_columns)
     writer = df.write.mode("overwrite")
     if partition_columns:
         writer = writer.partitionBy(*partition_columns)
@@ -209,4 +212,6 @@ def hot_cold(
 ) -> tuple[DataStreamWriter, DataStreamWriter]:
     """Two queries on one source: ``live`` as a change log, every event as history by date and hour."""
     history = stream.withColumns({"event_date": F.col(ts).cast("date"), "event_hour": F.hour(ts)})
-    return change_log(live, f"{root}/hot"), append_files(history, f"{root}/cold", ["event_date", "event_hour"])
+    folders = ["event_date", "event_hour"]
+    cold = each_batch(history, lambda df, batch_id: write_batch(df, f"{root}/cold", batch_id, folders))
+    return change_log(live, f"{root}/hot"), cold
