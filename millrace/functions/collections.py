@@ -4,10 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def explode_rows(df: DataFrame, array: Column, name: str, *keep: str | Column) -> DataFrame:
+    """One row per non-NULL element, beside the columns ``keep``.
+
+    For a plain ``explode`` Catalyst adds filters on the array's size, which
+    compute an expensive array expression again; the outer form does not.
+    """
+    return df.select(*keep, F.explode_outer(array).alias(name)).filter(F.col(name).isNotNull())
+
+
 def map_filter_reduce(
     array: Column,
     keep: Callable[[Column], Column],

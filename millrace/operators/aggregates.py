@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.collections import explode_rows
 from millrace.functions.columns import as_column, money, money_total
 from millrace.operators.skew import MAX_PIECES, MIN_PIECE_ROWS, OrderedSplit
 
@@ -104,7 +105,7 @@ def customer_features(orders: DataFrame, customer: str, ts: str, amount: str, as
 
 
 def word_count(df: DataFrame, text: str, pattern: str = r"\s+") -> DataFrame:
-    words = df.select(F.explode(F.split(text, pattern)).alias("word"))
+    words = explode_rows(df, F.split(text, pattern), "word")
     return words.filter("word <> ''").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -127,7 +128,7 @@ def group_collect(
     that no single row has to hold an unbounded group. Nothing is cut off.
     """
     pairs = df.select(key, value).distinct()
-    split = OrderedSplit(pairs, [key], [value], min_piece_rows, max_pieces)
+    split = OrderedSplit(pairs, [key], [value], min_piece_rows, max_pieces, weigh=df)
     numbered = split.done(split.row_number(split.df, "_n"))
     part = F.floor((F.col("_n") - 1) / list_length).cast("long")
     return (

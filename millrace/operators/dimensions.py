@@ -53,11 +53,11 @@ def build_fact_enriched(orders: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def fact_surrogate_lookup(
-    facts: DataFrame, dim: DataFrame, key: str, at: str, sk: str, unique: str, **limits: int
+    facts: DataFrame, dim: DataFrame, key: str, at: str, sk: str, unique: str, **options: object
 ) -> DataFrame:
     """Replace the natural key by the surrogate key of the version valid at ``at``."""
     versions = dim.select(key, "start_date", "end_date", sk)
-    found = join_point_in_time(facts, versions, key, at, unique=unique, how="left", **limits)
+    found = join_point_in_time(facts, versions, key, at, unique=unique, how="left", **options)
     return found.withColumn(sk, F.coalesce(sk, F.lit(UNKNOWN_KEY))).drop(key, "start_date", "end_date")
 
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.collections import explode_rows
 from millrace.session import checkpoint_root
 
 
@@ -21,8 +22,7 @@ def match_entities(records: DataFrame, record_id: str, rules: Mapping[str, Colum
     """
     checkpoint_root(records.sparkSession)
     keyed = [F.when(k.isNotNull(), F.concat(F.lit(f"{n}:"), k.cast("string"))) for n, k in rules.items()]
-    nodes = F.explode(F.array_distinct(F.array_compact(F.array(*keyed))))
-    edges = records.select(F.col(record_id).alias("_id"), nodes.alias("_node")).distinct()
+    edges = explode_rows(records, F.array(*keyed), "_node", F.col(record_id).alias("_id")).distinct()
     shared = edges.groupBy("_node").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_low")).filter("_n > 1")
     edges = edges.join(shared.select("_node", "_low"), "_node").checkpoint()
 

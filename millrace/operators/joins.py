@@ -61,6 +61,7 @@ def join_point_in_time(
     how: str = "inner",
     min_piece_rows: int = MIN_PIECE_ROWS,
     max_pieces: int = MAX_PIECES,
+    weigh_versions: DataFrame | None = None,
 ) -> DataFrame:
     """Each fact with the version of its key valid at ``at``: ``start <= at < end``,
     an absent end meaning still open.
@@ -70,7 +71,8 @@ def join_point_in_time(
     the work is linear in both inputs where a range join would compare every
     fact with every version of the key. ``unique`` names the fact column that
     makes ``(key, at)`` a total order; without it, facts of equal time are
-    interchangeable.
+    interchangeable. ``weigh_versions`` may give the keys and starts of the
+    versions more cheaply when ``versions`` is itself a long computation.
     """
     carried = [c for c in versions.columns if c != key]
     clash = set(carried) & set(facts.columns)
@@ -79,13 +81,9 @@ def join_point_in_time(
     tie = F.col(unique).cast("string") if unique else F.xxhash64(*facts.columns).cast("string")
     ends = F.coalesce(F.col(end).cast("timestamp_ntz"), F.lit(OPEN_END).cast("timestamp_ntz"))
     # At equal time a version precedes the facts, and an empty version precedes its successor.
+    starts = F.col(start).cast("timestamp_ntz").alias("_t")
     version_rows = versions.select(
-        key,
-        F.col(start).cast("timestamp_ntz").alias("_t"),
-        F.lit(0).alias("_kind"),
-        ends.cast("string").alias("_tie"),
-        ends.alias("_ends"),
-        F.struct(*carried).alias("_version"),
+        key, starts, F.lit(0).alias("_kind"), ends.cast("string").alias("_tie"), F.struct(ends.alias("_ends"), F.struct(*carried).alias("_version")).alias("_cand")
     )
     fact_rows = facts.select(
         key,
@@ -95,8 +93,13 @@ def join_point_in_time(
         F.struct(*[c for c in facts.columns if c != key]).alias("_fact"),
     )
     line = version_rows.unionByName(fact_rows, allowMissingColumns=True)
-    line = line.withColumn("_cand", F.when(F.col("_kind") == 0, F.struct("_ends", "_version")))
-    split = OrderedSplit(line.drop("_ends", "_version"), [key], ["_t", "_kind", "_tie"], min_piece_rows, max_pieces)
+    order = ["_t", "_kind", "_tie"]
+    weights = fact_rows.select(key, *order).unionByName(
+        version_rows.select(key, *order)
+        if weigh_versions is None
+        else weigh_versions.select(key, starts, F.lit(0).alias("_kind"), F.lit("").alias("_tie"))
+    )
+    split = OrderedSplit(line, [key], order, min_piece_rows, max_pieces, weigh=weights)
     seen = split.last_known(split.df, "_last", "_cand").filter("_kind = 1")
     valid = F.when(F.col("_last._ends") > F.col("_t"), F.col("_last._version"))
     found = seen.withColumn("_valid", valid)

@@ -11,6 +11,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators.skew import cuts_not_above
+
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
 
@@ -54,16 +56,12 @@ def quantile_cuts(df: DataFrame, column: str, bits: int = 8, accuracy: int = 10_
 
 
 def _bucket(column: str, cuts: Sequence[float]) -> Column:
-    """Number of cuts not above the value, by bisection in nested conditions."""
-    value = F.col(column).cast("double")
-
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        mid = (low + high) // 2
-        return F.when(value < cuts[mid], search(low, mid)).otherwise(search(mid + 1, high))
-
-    return F.coalesce(search(0, len(cuts)), F.lit(0))
+    """Number of cuts not above the value; NULL sorts first."""
+    if not cuts:
+        return F.lit(0)
+    width = math.ceil(math.sqrt(len(cuts)))
+    blocks = [F.array(*[F.lit(c) for c in cuts[i : i + width]]) for i in range(0, len(cuts), width)]
+    return F.coalesce(F.when(F.col(column).isNotNull(), cuts_not_above(F.array(*blocks), F.col(column).cast("double"))), F.lit(0))
 
 
 def zorder_key(df: DataFrame, columns: Sequence[str], bits: int = 8) -> Column:

@@ -186,13 +186,14 @@ def snapshot_check(
     columns: Sequence[str],
     min_piece_rows: int = MIN_PIECE_ROWS,
     max_pieces: int = MAX_PIECES,
+    weigh: DataFrame | None = None,
 ) -> DataFrame:
     """History from repeated loads: a version starts when a compared column changes.
 
     ``loads`` holds at most one row per key and load. Returns the compared
     columns with ``valid_from`` and ``valid_to`` (NULL while still valid).
     """
-    split = OrderedSplit(loads.select(key, loaded_at, *columns), [key], [loaded_at], min_piece_rows, max_pieces)
+    split = OrderedSplit(loads.select(key, loaded_at, *columns), [key], [loaded_at], min_piece_rows, max_pieces, weigh)
     before = {f"_b_{c}": c for c in columns}
     rows = split.previous(split.df, {"_b_at": loaded_at, **before})
     differs = any_differs([F.col(c) for c in columns], [F.col(b) for b in before])
@@ -215,6 +216,6 @@ def snapshot_timestamp(
     If a key carries one time twice, the row with the highest ``unique`` stays.
     """
     rows = dedup_latest(loads.select(key, updated_at, unique, *columns), [key, updated_at], [F.desc(unique)])
-    split = OrderedSplit(rows.drop(unique), [key], [updated_at], min_piece_rows, max_pieces)
+    split = OrderedSplit(rows.drop(unique), [key], [updated_at], min_piece_rows, max_pieces, weigh=loads)
     closed = split.done(split.following(split.df, {"valid_to": updated_at}))
     return closed.withColumnRenamed(updated_at, "valid_from")

@@ -33,6 +33,21 @@ def _attach(df: DataFrame, small: DataFrame, names: Sequence[str], how: str) ->
     return df.join(F.broadcast(renamed), match, how).drop(*[f"_r_{n}" for n in names])
 
 
+def in_blocks(cuts: Column) -> Column:
+    """Sorted, non-empty array of cut points as an array of about sqrt(n) blocks."""
+    width = F.ceil(F.sqrt(F.size(cuts))).cast("int")
+    starts = F.sequence(F.lit(1), F.size(cuts), width)
+    return F.transform(starts, lambda i: F.slice(cuts, i, width))
+
+
+def cuts_not_above(blocks: Column, value: Column) -> Column:
+    """How many cut points are at or below ``value``: two short scans, one over
+    the blocks and one inside the block found."""
+    full = F.size(F.filter(blocks, lambda b: b[0] <= value))
+    inside = F.size(F.filter(F.element_at(blocks, F.greatest(full, F.lit(1))), lambda c: c <= value))
+    return F.greatest(full - 1, F.lit(0)) * F.size(blocks[0]) + inside
+
+
 def heavy_keys(
     df: DataFrame,
     keys: Sequence[str],
@@ -54,6 +69,10 @@ class OrderedSplit:
     subtotal, a last row) is computed by one small aggregate over the heavy
     rows and joined back. ``order`` must be a total order within a key, sorted
     ascending with NULLs first.
+
+    ``weigh`` may name a cheaper DataFrame with the same key and order columns
+    to count and sample instead of ``df``, such as the input of a
+    deduplication. It decides where pieces begin, never what the results are.
     """
 
     def __init__(
@@ -63,15 +82,16 @@ class OrderedSplit:
         order: Sequence[str],
         min_piece_rows: int = MIN_PIECE_ROWS,
         max_pieces: int = MAX_PIECES,
+        weigh: DataFrame | None = None,
     ):
         self.keys, self.order = list(keys), list(order)
         self.position = F.struct(*[F.col(c) for c in self.order])
         self.window = Window.partitionBy(*self.keys, _HOT, _CHUNK).orderBy(*self.order)
         self._pieces = Window.partitionBy(*self.keys).orderBy(_CHUNK)
-        self.df = self._cut(df, min_piece_rows, max_pieces)
+        self.df = self._cut(df, df if weigh is None else weigh, min_piece_rows, max_pieces)
 
-    def _cut(self, df: DataFrame, min_piece_rows: int, max_pieces: int) -> DataFrame:
-        narrow = df.select(*dict.fromkeys(self.keys + self.order))
+    def _cut(self, df: DataFrame, weigh: DataFrame, min_piece_rows: int, max_pieces: int) -> DataFrame:
+        narrow = weigh.select(*dict.fromkeys(self.keys + self.order))
         hot = heavy_keys(narrow, self.keys, min_piece_rows, max_pieces)
         # A sample chosen by hash decides only where to cut, never which rows are used.
         sample = (
@@ -84,27 +104,10 @@ class OrderedSplit:
         cuts = (
             sample.withColumn("_c", every)
             .filter(F.size("_c") > 0)
-            .withColumn("_w", F.ceil(F.sqrt(F.size("_c"))).cast("int"))
-            # Blocks of about sqrt(n) cuts keep the search at two short scans per row.
-            .withColumn(
-                "_blocks",
-                F.transform(
-                    F.sequence(F.lit(0), (F.ceil(F.size("_c") / F.col("_w")) - 1).cast("int")),
-                    lambda i: F.slice(F.col("_c"), i * F.col("_w") + 1, F.col("_w")),
-                ),
-            )
-            .select(*self.keys, "_w", "_blocks", F.lit(True).alias(_HOT))
-        )
-        top = F.size(F.filter("_blocks", lambda b: b[0] <= self.position))
-        block = F.element_at("_blocks", F.greatest(F.col("_top"), F.lit(1)))
-        inner = F.size(F.filter(block, lambda c: c <= self.position))
-        chunk = F.when(F.col(_HOT), F.when(F.col("_top") == 0, 0).otherwise((F.col("_top") - 1) * F.col("_w") + inner))
-        return (
-            _attach(df, cuts, self.keys, "left")
-            .withColumn("_top", F.when(F.col(_HOT), top))
-            .withColumn(_CHUNK, chunk)
-            .drop("_top", "_w", "_blocks")
+            .select(*self.keys, in_blocks(F.col("_c")).alias("_blocks"), F.lit(True).alias(_HOT))
         )
+        chunk = F.when(F.col(_HOT), cuts_not_above(F.col("_blocks"), self.position))
+        return _attach(df, cuts, self.keys, "left").withColumn(_CHUNK, chunk).drop("_blocks")
 
     def _carry(self, df: DataFrame, per_piece: Mapping[str, Column], over_pieces: Mapping[str, Column]) -> DataFrame:
         """Join values derived from other pieces of the same key; NULL for ordinary keys."""

@@ -56,7 +56,7 @@ def rank_with_gaps(
     """
     down = -F.col(value)
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")).withColumn("_down", down)
-    split = OrderedSplit(counts, keys, ["_down"], min_piece_rows, max_pieces)
+    split = OrderedSplit(counts, keys, ["_down"], min_piece_rows, max_pieces, weigh=df.withColumn("_down", down))
     upto = split.done(split.running_sum(split.df, {"_upto": "_n"}))
     ranks = upto.select(*keys, value, (F.col("_upto") - F.col("_n") + 1).alias(name))
     return df.join(ranks, [*keys, value])

@@ -180,7 +180,7 @@ def snapshot_check(spark, sf_dir):
 
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_orderpriority")
     loads = dedup_latest(orders, ["o_custkey", "o_orderdate"], [F.desc("o_orderkey")])
-    return scd.snapshot_check(loads, "o_custkey", "o_orderdate", ["o_orderpriority"])
+    return scd.snapshot_check(loads, "o_custkey", "o_orderdate", ["o_orderpriority"], weigh=orders)
 
 
 STATE = "user_id, ts, event_id, event_type, value"

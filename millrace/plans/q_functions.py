@@ -102,8 +102,8 @@ EXPLODED = """SELECT l_orderkey AS order_id, l_partkey AS sku, l_quantity AS qty
 
 @query("explode_items", EXPLODED)
 def explode_items(spark, sf_dir):
-    parsed = _payload(spark, sf_dir).select("order_id", F.from_json("payload", f"items {ITEMS}").alias("p"))
-    return parsed.select("order_id", F.explode("p.items").alias("i")).select("order_id", "i.sku", "i.qty")
+    items = F.from_json("payload", f"items {ITEMS}")["items"]
+    return L.explode_rows(_payload(spark, sf_dir), items, "i", "order_id").select("order_id", "i.sku", "i.qty")
 
 
 @query("variant_flatten", EXPLODED)

@@ -119,6 +119,12 @@ VERSIONS = """ver AS (
   FROM (SELECT o_custkey, CAST(o_orderdate AS DATE) AS d, o_orderpriority,
                row_number() OVER (PARTITION BY o_custkey, CAST(o_orderdate AS DATE) ORDER BY o_orderkey DESC) AS rn
         FROM orders) WHERE rn = 1)"""
+
+
+def version_starts(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("user_id"), F.col("o_orderdate").alias("start_date"))
+
+
 # Events happen after the last order, so their time is moved back into the order years.
 SHIFTED = "CAST(ts - INTERVAL 8 YEAR + (event_id % 1500) * INTERVAL 1 DAY AS TIMESTAMP)"
 
@@ -136,7 +142,12 @@ def shifted_events(spark, sf_dir):
 )
 def join_point_in_time(spark, sf_dir):
     return joins.join_point_in_time(
-        shifted_events(spark, sf_dir), priority_versions(spark, sf_dir), "user_id", "happened", unique="event_id"
+        shifted_events(spark, sf_dir),
+        priority_versions(spark, sf_dir),
+        "user_id",
+        "happened",
+        unique="event_id",
+        weigh_versions=version_starts(spark, sf_dir),
     )
 
 
@@ -151,7 +162,7 @@ def fact_surrogate_lookup(spark, sf_dir):
     from millrace.operators.dimensions import fact_surrogate_lookup as lookup
 
     dim = priority_versions(spark, sf_dir).withColumn("dim_sk", surrogate_key("user_id", "start_date"))
-    return lookup(shifted_events(spark, sf_dir), dim, "user_id", "happened", "dim_sk", "event_id")
+    return lookup(shifted_events(spark, sf_dir), dim, "user_id", "happened", "dim_sk", "event_id", weigh_versions=version_starts(spark, sf_dir))
 
 
 @query(

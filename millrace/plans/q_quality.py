@@ -76,8 +76,10 @@ def dq_status_only(spark, sf_dir):
         SELECT 'reconcile' AS check_name, CAST(x <> y AS BIGINT) AS failures, x = y AS passed FROM a, b""",
 )
 def dq_reconcile(spark, sf_dir):
-    cleaned = clean(spark, sf_dir)
-    return quality.dq_reconcile(dimensions.build_fact_orders(cleaned), cleaned, "amount")
+    """The written facts against the cleaned rows they came from."""
+    path, cleaned = scratch_path(spark, "fact_orders"), clean(spark, sf_dir)
+    dimensions.build_fact_orders(cleaned).write.parquet(path)
+    return quality.dq_reconcile(spark.read.parquet(path), cleaned, "amount")
 
 
 @query(

@@ -238,14 +238,11 @@ def standardize_orders(spark, sf_dir):
     return rows.select("order_id", "customer_id", "amount", "status", "order_date")
 
 
-GOLDEN_EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
-
-
 @query(
     "golden_record",
     rf"""WITH RECURSIVE rec AS (
            SELECT doc_id, source, lang, n_chars, trim(regexp_replace(lower(text), '[ \t\n\f\r]+', ' ', 'g')) AS norm,
-                  NULLIF(lower(regexp_extract(text, '{GOLDEN_EMAIL}', 0)), '') AS email FROM documents),
+                  NULLIF(lower(regexp_extract(text, '{C.EMAIL_PATTERN}', 0)), '') AS email FROM documents),
          ent AS (
            SELECT a.doc_id AS a, b.doc_id AS b FROM rec a JOIN rec b ON a.norm = b.norm
            UNION SELECT a.doc_id, b.doc_id FROM rec a JOIN rec b ON a.email = b.email),
@@ -257,10 +254,9 @@ GOLDEN_EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 )
 def golden_record(spark, sf_dir):
     """Documents from several sources: same text or same first e-mail address means same entity."""
-    email = F.nullif(F.lower(F.regexp_extract("text", GOLDEN_EMAIL, 0)), F.lit(""))
     norm = F.trim(F.regexp_replace(F.lower("text"), r"[ \t\n\f\r]+", " "))
     records = table(spark, sf_dir, "documents").select(
-        "doc_id", "source", "lang", "n_chars", F.sha2(norm, 256).alias("digest"), email.alias("email")
+        "doc_id", "source", "lang", "n_chars", F.sha2(norm, 256).alias("digest"), C.first_email("text").alias("email")
     )
     rules = {"text": F.col("digest"), "email": F.col("email")}
     return entities.golden_record(records, "doc_id", rules, ["n_chars", "doc_id"], ["email", "lang", "source"])

@@ -336,8 +336,9 @@ def incremental_model(spark, sf_dir):
     source = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
     early = source.filter(F.col("o_orderdate") <= F.lit("1998-06-30").cast("timestamp_ntz"))
     latest = [F.desc("o_orderdate"), F.desc("o_orderstatus")]
-    first = model(None, early, ["o_orderkey"], "o_orderdate", latest)
-    return model(first, source, ["o_orderkey"], "o_orderdate", latest)
+    path = scratch_path(spark, "model")
+    model(None, early, ["o_orderkey"], "o_orderdate", latest).write.parquet(path)
+    return model(spark.read.parquet(path), source, ["o_orderkey"], "o_orderdate", latest)
 
 
 @query(

@@ -194,7 +194,7 @@ def hot_cold_split(spark, sf_dir):
     out = scratch_path(spark, "split")
     events = _events(spark, sf_dir)
     live = S.tumbling(events, "ts", "1 day", "1 hour", ["event_type"], _counts())
-    hot, cold = S.hot_cold(events, live, "ts", out)
+    hot, cold = S.hot_cold(events, live, "ts", out, hourly=False)
     S.run_to_end(hot, f"{out}/checkpoint_hot")
     S.run_to_end(cold, f"{out}/checkpoint_cold")
     counts = S.read_change_log(spark, f"{out}/hot", live.schema, ["window_start", "event_type"])

@@ -198,7 +198,7 @@ def threshold_alerts(
             rows = rows.withColumn("_new", F.lit(True)).unionByName(seed, allowMissingColumns=True)
         else:
             rows = rows.withColumn("_new", F.lit(True))
-        split = OrderedSplit(rows, [device], [ts, unique], min_piece_rows, max_pieces)
+        split = OrderedSplit(rows, [device], [ts, unique], min_piece_rows, max_pieces, weigh=df)
         seen = split.done(split.previous(split.df, {"_was": "_breached"}))
         alerts = seen.filter(F.col("_new") & F.col("_breached") & ~F.coalesce("_was", F.lit(False)))
         write_batch(alerts.select(*df.columns), f"{root}/alerts", batch_id)
@@ -208,10 +208,11 @@ def threshold_alerts(
 
 
 def hot_cold(
-    stream: DataFrame, live: DataFrame, ts: str, root: str
+    stream: DataFrame, live: DataFrame, ts: str, root: str, hourly: bool = True
 ) -> tuple[DataStreamWriter, DataStreamWriter]:
-    """Two queries on one source: ``live`` as a change log, every event as history by date and hour."""
-    history = stream.withColumns({"event_date": F.col(ts).cast("date"), "event_hour": F.hour(ts)})
-    folders = ["event_date", "event_hour"]
+    """Two queries on one source: ``live`` as a change log, every event as history
+    by date and, unless switched off, hour."""
+    parts = {"event_date": F.col(ts).cast("date")} | ({"event_hour": F.hour(ts)} if hourly else {})
+    history, folders = stream.withColumns(parts), list(parts)
     cold = each_batch(history, lambda df, batch_id: write_batch(df, f"{root}/cold", batch_id, folders))
     return change_log(live, f"{root}/hot"), cold
