@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import HIGH_FROM
 
 
-def bucket_value(value: float | None) -> str:
+def bucket_value(value):
     """High or low; a missing value is low."""
     return "high" if value is not None and value >= HIGH_FROM else "low"
 
