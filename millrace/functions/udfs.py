@@ -13,23 +13,27 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import HIGH_FROM
 
 
-def bucket_value(value):
-    """High or low; a missing value is low."""
-    return "high" if value is not None and value >= HIGH_FROM else "low"
-
-
 def bucket_builtin(c: Column) -> Column:
     return F.when(c >= HIGH_FROM, "high").otherwise("low")
 
 
 def bucket_udf() -> Callable[[Column], Column]:
-    return F.udf(bucket_value, "string")
+    """Row at a time; a missing value is low. Defined inside, so that it travels
+    to the workers by value and they need not have this package."""
+    limit = HIGH_FROM
+
+    def bucket(value):
+        return "high" if value is not None and value >= limit else "low"
+
+    return F.udf(bucket, "string")
 
 
 def bucket_pandas_udf() -> Callable[[Column], Column]:
+    limit = HIGH_FROM
+
     @F.pandas_udf("string")
     def bucket(values: pd.Series) -> pd.Series:
-        return values.ge(HIGH_FROM).map({True: "high", False: "low"})
+        return values.ge(limit).map({True: "high", False: "low"})
 
     return bucket
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.cleansing import dedup_latest
+from millrace.operators.joins import broadcast_if_small
 
 
 def _one_per_key(source: DataFrame, keys: Sequence[str], latest: Sequence[Column] | None) -> DataFrame:
@@ -26,16 +27,17 @@ def merge_upsert(
 ) -> DataFrame:
     """Source rows replace target rows of the same key; new keys are added.
 
-    The anti join leaves the target where it is when Spark can broadcast the
-    batch, so a small batch does not shuffle a large table.
+    The keys of a batch that is estimated small are broadcast, so that it does
+    not shuffle a large target.
     """
     rows = _one_per_key(source, keys, latest).select(*target.columns)
-    return target.join(rows.select(*keys), list(keys), "left_anti").select(*target.columns).unionByName(rows)
+    replaced = broadcast_if_small(source.select(*keys).distinct())
+    return target.join(replaced, list(keys), "left_anti").select(*target.columns).unionByName(rows)
 
 
 def staging_delete_insert(target: DataFrame, staging: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Delete the keys present in staging, then insert all staging rows."""
-    kept = target.join(staging.select(*keys), list(keys), "left_anti")
+    kept = target.join(broadcast_if_small(staging.select(*keys)), list(keys), "left_anti")
     return kept.select(*target.columns).unionByName(staging.select(*target.columns))
 
 

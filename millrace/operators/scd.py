@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import any_differs, surrogate_key
 from millrace.operators.cleansing import dedup_latest
+from millrace.operators.joins import BROADCAST_LIMIT_BYTES, broadcast_if_small, estimated_bytes
 from millrace.operators.skew import MAX_PIECES, MIN_PIECE_ROWS, OrderedSplit
 
 START, END, CURRENT = "start_date", "end_date", "is_current"
@@ -99,13 +100,19 @@ def scd2_two_step(
 ) -> DataFrame:
     """Same result in two steps: close changed rows, then insert keys without a current row.
 
-    Suits a batch that is small beside the dimension: the dimension is only
-    probed, never shuffled, while the batch can be broadcast.
+    Suits a batch that is small beside the dimension: the dimension is probed
+    with the broadcast batch, and only keys found in both go on, so the
+    dimension itself is never shuffled.
     """
-    changed = scd2_detect_changed(dim, batch, key, tracked, effective)
-    expired = scd2_soft_delete(dim, changed.select(key, F.col(effective).alias("_closed_on")), key, "_closed_on")
     source = _batch(batch, key, effective)
-    missing = source.join(expired.filter(CURRENT).select(key), key, "left_anti")
+    # One decision for all three joins: what meets the dimension is no larger than the batch.
+    small = F.broadcast if estimated_bytes(source) <= BROADCAST_LIMIT_BYTES else lambda df: df
+    probe = small(source.select(key, F.struct(*tracked).alias("_new"), F.col(effective).alias("_gone")))
+    met = dim.filter(CURRENT).join(probe, key)
+    differs = any_differs([F.col(c) for c in tracked], [F.col(f"_new.{c}") for c in tracked])
+    met = met.select(key, "_gone", differs.alias("_differs")).dropDuplicates([key])
+    expired = _close(dim, small(met.filter("_differs").select(key, "_gone")), key)
+    missing = source.join(small(met.filter("NOT _differs").select(key)), key, "left_anti")
     attributes = [c for c in dim.columns if c not in (key, sk, *HISTORY_COLUMNS)]
     opened = scd2_init(missing.select(key, *attributes, effective), key, F.col(effective), sk)
     return expired.unionByName(opened.drop(effective))
@@ -114,6 +121,10 @@ def scd2_two_step(
 def scd2_soft_delete(dim: DataFrame, deleted: DataFrame, key: str, deleted_on: str) -> DataFrame:
     """Close the current version of every key in ``deleted``; history stays."""
     gone = deleted.groupBy(key).agg(F.min(deleted_on).cast("date").alias("_gone"))
+    return _close(dim, broadcast_if_small(gone), key)
+
+
+def _close(dim: DataFrame, gone: DataFrame, key: str) -> DataFrame:
     close = F.col(CURRENT) & F.col("_gone").isNotNull()
     return (
         dim.join(gone, key, "left")

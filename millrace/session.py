@@ -41,12 +41,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     run without that setting; it then gets a fresh temporary folder.
     """
     sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or _local_checkpoint.get(sc.applicationId)
+    root = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or sc.getCheckpointDir()
+        or _local_checkpoint.get(sc.applicationId)
+    )
     if root is None:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         root = tempfile.mkdtemp(prefix="millrace-")
         _local_checkpoint[sc.applicationId] = root
+        sc.setCheckpointDir(root)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root

@@ -19,6 +19,7 @@ from millrace.operators.cleansing import dedup_latest
 from millrace.operators.skew import MAX_PIECES, MIN_PIECE_ROWS, OrderedSplit
 
 BATCH = "batch_id"
+FULL_STATE_EVERY = 50
 
 
 def stream_files(
@@ -80,6 +81,13 @@ def read_change_log(spark: SparkSession, path: str, schema: T.StructType, keys:
     return dedup_latest(rows, keys, [F.desc(BATCH)]).drop(BATCH)
 
 
+def compact_change_log(spark: SparkSession, path: str, target: str, schema: T.StructType, keys: Sequence[str]) -> None:
+    """Latest row per key, written under its own batch to ``target``. A stopped
+    stream can go on there with its old checkpoint, since batch numbers only grow."""
+    last = dedup_latest(read_batches(spark, path, schema), keys, [F.desc(BATCH)])
+    last.hint("rebalance").write.mode("errorifexists").partitionBy(BATCH).parquet(target)
+
+
 def tumbling(stream: DataFrame, ts: str, width: str, delay: str, keys: Sequence[str], aggregates: Sequence[Column]) -> DataFrame:
     """Aggregates per fixed window; partial aggregation happens before the state store."""
     return sliding(stream, ts, width, width, delay, keys, aggregates)
@@ -184,7 +192,9 @@ def threshold_alerts(
 
     The last reading per device is the state. It is kept as a table below
     ``root/state`` instead of a per-device Python state function, so that a
-    device with very many readings is still spread over tasks. Alerts are below
+    device with very many readings is still spread over tasks. A batch writes
+    the devices it saw, every ``FULL_STATE_EVERY``-th batch all of them, so a
+    batch reads a bounded number of state folders. Alerts are below
     ``root/alerts``. Readings must reach the stream in event order, batch by batch.
     """
 
@@ -193,9 +203,13 @@ def threshold_alerts(
         state_schema = T.StructType([df.schema[device], df.schema[ts], df.schema[unique], T.StructField("_breached", T.BooleanType())])
         known = rows.select(device, ts, unique, "_breached")
         if batch_id > 0:
-            log = read_batches(df.sparkSession, f"{root}/state", state_schema).filter(F.col(BATCH) < batch_id)
+            full = (batch_id - 1) // FULL_STATE_EVERY * FULL_STATE_EVERY
+            log = read_batches(df.sparkSession, f"{root}/state", state_schema)
+            log = log.filter((F.col(BATCH) >= full) & (F.col(BATCH) < batch_id))
             seed = dedup_latest(log, [device], [F.desc(BATCH)]).drop(BATCH)
             rows = rows.withColumn("_new", F.lit(True)).unionByName(seed, allowMissingColumns=True)
+            if batch_id % FULL_STATE_EVERY == 0:
+                known = known.unionByName(seed)
         else:
             rows = rows.withColumn("_new", F.lit(True))
         split = OrderedSplit(rows, [device], [ts, unique], min_piece_rows, max_pieces, weigh=df)

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import cdc, merge, scd
+from millrace.operators.layout import plan_text
 from millrace.operators.incremental import incremental_model, watermark_increment
 from tests.conftest import rows, same_rows
 
@@ -97,6 +98,11 @@ def test_scd2_two_ways_agree_and_repeat(dim, batch, merged):
     assert same_rows(merged, scd.scd2_merge(merged, batch, KEY, TRACKED, SK))
 
 
+def test_small_batch_does_not_shuffle_the_dimension(dim, batch):
+    plan = plan_text(scd.scd2_two_step(dim, batch, KEY, TRACKED, SK), "simple")
+    assert "SortMergeJoin" not in plan
+
+
 def test_change_to_null_is_a_change(dim, batch):
     nulled = batch.withColumn("stars", F.lit(None).cast("double"))
     assert scd.scd2_detect_changed(dim, nulled, KEY, TRACKED).count() == 3

@@ -62,7 +62,11 @@ def test_repeated_batch_replaces_itself(spark, tmp_path):
         S.write_batch(df, path, 0)
     S.write_batch(df.filter("id < 2").withColumn("v", F.lit(2)), path, 1)
     assert S.read_batches(spark, path, df.schema).count() == 7
-    assert rows(S.read_change_log(spark, path, df.schema, ["id"]), "id", "v") == [(0, 2), (1, 2), (2, 1), (3, 1), (4, 1)]
+    latest = [(0, 2), (1, 2), (2, 1), (3, 1), (4, 1)]
+    assert rows(S.read_change_log(spark, path, df.schema, ["id"]), "id", "v") == latest
+    S.compact_change_log(spark, path, str(tmp_path / "c"), df.schema, ["id"])
+    assert S.read_batches(spark, str(tmp_path / "c"), df.schema).count() == 5
+    assert rows(S.read_change_log(spark, str(tmp_path / "c"), df.schema, ["id"]), "id", "v") == latest
 
 
 def test_merge_and_latest_state(spark, feed, tmp_path):
@@ -77,7 +81,8 @@ def test_merge_and_latest_state(spark, feed, tmp_path):
     assert same_rows(want, a.select("device", "id")) and same_rows(want, b.select("device", "id"))
 
 
-def test_alerts_are_latched_across_batches(spark, feed, tmp_path):
+def test_alerts_are_latched_across_batches(spark, feed, tmp_path, monkeypatch):
+    monkeypatch.setattr(S, "FULL_STATE_EVERY", 2)
     feed(4)
     limits = {"min_piece_rows": 5, "max_pieces": 100}
     for name, extra in (("a", {}), ("b", limits)):
