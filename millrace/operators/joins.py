@@ -38,6 +38,30 @@ def join_salted(big: DataFrame, other: DataFrame, keys: Sequence[str], how: str
     return salted_join(big, other, keys, how, **limits)
 
 
+def rows_with_match(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose key occurs in ``other``.
+
+    Spark cannot split the right side of a semi or anti join, so its keys are
+    made distinct first; copies disappear before the shuffle.
+    """
+    return df.join(other.select(*on).distinct(), list(on), "left_semi").select(*df.columns)
+
+
+def rows_without_match(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose key does not occur in ``other``."""
+    return df.join(other.select(*on).distinct(), list(on), "left_anti").select(*df.columns)
+
+
+def join_full(big: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Full outer join whose ``big`` side may hold heavy keys.
+
+    Spark cannot split a skewed full join. A left join it can, and what that
+    leaves out are the rows of ``other`` whose key is not in ``big``.
+    """
+    matched = big.join(other, list(on), "left")
+    return matched.unionByName(rows_without_match(other, big, on), allowMissingColumns=True)
+
+
 def date_spine(df: DataFrame, first: str, last: str, name: str = "dt") -> DataFrame:
     """One row per day between two dates, both included."""
     days = F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))

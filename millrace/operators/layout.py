@@ -11,7 +11,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.skew import cuts_not_above
+from millrace.operators.skew import MIN_PIECE_ROWS, cuts_not_above, heavy_keys
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
@@ -87,13 +87,22 @@ def sort_layout(df: DataFrame, columns: Sequence[str], files: int) -> DataFrame:
     return spread.sortWithinPartitions(*columns)
 
 
-def bucket_layout(df: DataFrame, table: str, path: str, columns: Sequence[str], buckets: int) -> None:
+def bucket_layout(df: DataFrame, table: str, path: str, columns: Sequence[str], buckets: int) -> bool:
     """Bucketed and sorted table; joins and groupings on the columns need no shuffle.
 
     Shuffling to the bucket count first makes each task write one bucket file.
+    A bucket is always read by one task, so a table in which one key would fill
+    more than two buckets is written sorted but unbucketed; its joins shuffle,
+    and AQE can split them. Returns whether the table is bucketed.
     """
-    writer = df.repartition(buckets, *columns).write.format("parquet").mode("errorifexists")
-    writer.bucketBy(buckets, *columns).sortBy(*columns).option("path", path).saveAsTable(table)
+    even = heavy_keys(df.select(*columns), columns, MIN_PIECE_ROWS, buckets).isEmpty()
+    if even:
+        writer = df.repartition(buckets, *columns).write.format("parquet").mode("errorifexists")
+        writer = writer.bucketBy(buckets, *columns).sortBy(*columns)
+    else:
+        writer = sort_layout(df, columns, buckets).write.format("parquet").mode("errorifexists")
+    writer.option("path", path).saveAsTable(table)
+    return even
 
 
 @contextmanager

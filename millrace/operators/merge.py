@@ -37,7 +37,7 @@ def merge_upsert(
 
 def staging_delete_insert(target: DataFrame, staging: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Delete the keys present in staging, then insert all staging rows."""
-    kept = target.join(broadcast_if_small(staging.select(*keys)), list(keys), "left_anti")
+    kept = target.join(broadcast_if_small(staging.select(*keys).distinct()), list(keys), "left_anti")
     return kept.select(*target.columns).unionByName(staging.select(*target.columns))
 
 

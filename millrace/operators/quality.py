@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.joins import rows_without_match
+
 
 class QualityError(RuntimeError):
     """A check that must hold did not."""
@@ -62,8 +64,7 @@ def dq_relationship(
 
 def dq_status_only(facts: DataFrame, staged: DataFrame, key: str, keep: Column, name: str = "status") -> DataFrame:
     """Facts whose staged row does not satisfy ``keep``."""
-    good = staged.filter(keep).select(key)
-    return _check(_count(facts.join(good, key, "left_anti")), name)
+    return _check(_count(rows_without_match(facts, staged.filter(keep), [key])), name)
 
 
 def dq_reconcile(left: DataFrame, right: DataFrame, column: str, name: str = "reconcile") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import EMAIL_PATTERN
+from millrace.operators.joins import rows_with_match, rows_without_match
 
 # What the scan looks for.
 PII_PATTERNS = {
@@ -30,8 +31,7 @@ def mask_columns(
 
 def row_filter(df: DataFrame, policy: DataFrame, column: str, role: str) -> DataFrame:
     """Rows whose ``column`` value the policy table grants to ``role``."""
-    granted = policy.filter(F.col("role") == role).select(column)
-    return df.join(granted, column, "left_semi").select(*df.columns)
+    return rows_with_match(df, policy.filter(F.col("role") == role), [column])
 
 
 def _has(column: str, name: str, pattern: str) -> Column:
@@ -56,7 +56,7 @@ def retention_purge(df: DataFrame, date_column: str, keep_from: str) -> DataFram
 
 def erase_subjects(df: DataFrame, requests: DataFrame, key: str) -> DataFrame:
     """Rows of everyone who did not ask to be erased."""
-    return df.join(requests.select(key), key, "left_anti").select(*df.columns)
+    return rows_without_match(df, requests, [key])
 
 
 def log_search(

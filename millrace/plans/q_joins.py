@@ -22,31 +22,35 @@ def join_inner_equi(spark, sf_dir):
 
 
 def _big_suppliers(spark, sf_dir):
-    return table(spark, sf_dir, "supplier").filter("s_acctbal > 5000").select("s_nationkey", "s_suppkey")
+    return table(spark, sf_dir, "supplier").filter("s_acctbal > 5000").select(F.col("s_nationkey").alias("nationkey"), "s_suppkey")
 
 
-OUTER = """SELECT n_nationkey, s_suppkey, s_nationkey FROM (SELECT n_nationkey FROM nation WHERE n_regionkey < 3)
-           {how} JOIN (SELECT s_nationkey, s_suppkey FROM supplier WHERE s_acctbal > 5000) ON n_nationkey = s_nationkey"""
+OUTER = """SELECT {key} AS nationkey, n_name, s_suppkey FROM {tables}"""
+NATIONS = "(SELECT * FROM nation WHERE n_regionkey < 3)"
+SUPPLIERS = "(SELECT * FROM supplier WHERE s_acctbal > 5000)"
 
 
-def _outer(spark, sf_dir, how):
-    nations = table(spark, sf_dir, "nation").filter("n_regionkey < 3").select("n_nationkey")
-    return nations.join(_big_suppliers(spark, sf_dir), F.col("n_nationkey") == F.col("s_nationkey"), how)
+def _nations(spark, sf_dir):
+    return table(spark, sf_dir, "nation").filter("n_regionkey < 3").select(F.col("n_nationkey").alias("nationkey"), "n_name")
 
 
-@query("join_left", OUTER.format(how="LEFT"))
+@query("join_left", OUTER.format(key="s_nationkey", tables=f"{SUPPLIERS} LEFT JOIN {NATIONS} ON s_nationkey = n_nationkey"))
 def join_left(spark, sf_dir):
-    return _outer(spark, sf_dir, "left")
+    """The large side is the kept side: Spark can broadcast the other or split this one."""
+    return _big_suppliers(spark, sf_dir).join(_nations(spark, sf_dir), "nationkey", "left")
 
 
-@query("join_right", OUTER.format(how="RIGHT"))
+@query("join_right", OUTER.format(key="s_nationkey", tables=f"{NATIONS} RIGHT JOIN {SUPPLIERS} ON s_nationkey = n_nationkey"))
 def join_right(spark, sf_dir):
-    return _outer(spark, sf_dir, "right")
+    return _nations(spark, sf_dir).join(_big_suppliers(spark, sf_dir), "nationkey", "right")
 
 
-@query("join_full", OUTER.format(how="FULL"))
+@query(
+    "join_full",
+    OUTER.format(key="coalesce(s_nationkey, n_nationkey)", tables=f"{NATIONS} FULL JOIN {SUPPLIERS} ON s_nationkey = n_nationkey"),
+)
 def join_full(spark, sf_dir):
-    return _outer(spark, sf_dir, "full")
+    return joins.join_full(_big_suppliers(spark, sf_dir), _nations(spark, sf_dir), ["nationkey"])
 
 
 @query(
@@ -55,7 +59,8 @@ def join_full(spark, sf_dir):
 )
 def join_semi(spark, sf_dir):
     returned = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
-    return table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice").join(returned, "o_orderkey", "left_semi")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return joins.rows_with_match(orders, returned, ["o_orderkey"])
 
 
 @query(
@@ -64,7 +69,8 @@ def join_semi(spark, sf_dir):
 )
 def join_anti(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
-    return table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice").join(lines, "o_orderkey", "left_anti")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return joins.rows_without_match(orders, lines, ["o_orderkey"])
 
 
 @query(

@@ -89,6 +89,14 @@ def test_buckets_join_without_a_shuffle(spark, tmp_path):
     assert counts["Exchange"] == 0 and counts["SortMergeJoin"] == 1
 
 
+def test_heavy_key_is_not_bucketed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(layout, "MIN_PIECE_ROWS", 10)
+    df = spark.range(1000).selectExpr("IF(id % 3 = 0, 0, id) AS k", "id")
+    assert not layout.bucket_layout(df, "bucket_hot", str(tmp_path / "h"), ["k"], 8)
+    assert layout.bucket_layout(df, "bucket_even", str(tmp_path / "e"), ["id"], 8)
+    assert same_rows(df, spark.table("bucket_hot"))
+
+
 def test_broadcast_only_below_the_limit(spark, sf_dir):
     big, small = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("orders", "customer"))
     small = small.withColumnRenamed("c_custkey", "o_custkey")

@@ -132,6 +132,12 @@ def test_salted_join(skewed, how):
     assert same_rows(big.join(other, "k", how), salted_join(big, other, ["k"], how, **SMALL))
 
 
+def test_full_join(skewed):
+    big = skewed.filter("k IS NULL OR k < 30").select("k", "id")
+    other = skewed.filter("k > 10").select("k").distinct().withColumn("w", F.col("k") * 2)
+    assert same_rows(big.join(other, "k", "full"), joins.join_full(big, other, ["k"]))
+
+
 def test_top_n_is_pruned_before_the_shuffle(spark, sf_dir):
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     top = windows.top_n_per_group(orders, ["o_custkey"], [F.desc("o_totalprice"), F.asc("o_orderkey")], 3)
