@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import as_column, blank_to_null, clamp_negative, or_unknown, text_to_date, text_to_number
+from millrace.functions.columns import clamp_negative, or_unknown, text_to_date, text_to_number
 
 
 def apply_mapping(df: DataFrame, mapping: Sequence[tuple[str, str, str]]) -> DataFrame:

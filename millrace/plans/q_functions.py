@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from millrace.functions import collections as L
 from millrace.functions import columns as C
 from millrace.functions import udfs
-from millrace.operators import joins
 from millrace.plans.registry import query, table
 from millrace.session import scratch_name
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import money_total
 from millrace.operators import joins, windows
 from millrace.plans import roles
 from millrace.plans.registry import query, table
