@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from millrace.plans.catalog import ORACLES, QUERIES
 from tests.compare import connect, differences
 
-SQL = oracle_sql()
+SQL = ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -15,9 +16,9 @@ def duck(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sf_dir, duck, name):
-    df = queries()[name](spark, sf_dir)
+    df = QUERIES[name](spark, sf_dir)
     if name in SQL:
         assert differences(df, SQL[name], duck) == []
     else:
@@ -25,8 +26,8 @@ def test_query(spark, sf_dir, duck, name):
 
 
 def test_sql_twins_belong_to_queries():
-    assert set(SQL) <= set(queries())
-    assert set(queries()) - set(SQL) == {"sample_rows", "limit_preview"}
+    assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) - set(SQL) == {"sample_rows", "limit_preview"}
 
 
 def test_entry(spark):
