@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.common import table
+from millrace.llm.packing import pack
+from millrace.llm.permutation_index import nearest_neighbours
 from millrace.llm.token_counts import count_tokens
 from millrace.session import scratch_path
 
@@ -30,3 +32,14 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Starts from an empty cache, so that every distinct content is encoded."""
     cache = scratch_path(spark, "token-cache")
     return count_tokens(table(spark, sf_dir, "documents"), cache, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op7_packing")
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, ranks = map(public_tokenizers.path, ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken"))
+    return pack(table(spark, sf_dir, "documents"), path, ranks)
+
+
+@query("op10_nearest_neighbours")
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), every=50)

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.common import stored
+
 CACHE_SCHEMA = "content string, tokenizer string, n_tokens long"
 MEMO_WORDS = 800_000
 #: The tokenizer's own word pattern, for the letters in PLAIN.
@@ -135,7 +137,8 @@ def count_tokens(
     ignored. An empty table gives an empty result.
     """
     add_missing(docs, cache, path, text)
-    counts = read_cache(docs.sparkSession, cache, tokenizer_digest(path))
+    # Stored, so that nothing but the join stands above its shuffle and Spark can split a much repeated content.
+    counts = stored(read_cache(docs.sparkSession, cache, tokenizer_digest(path)), "counts")
     rows = docs.select(
         F.col(key),
         F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"),
