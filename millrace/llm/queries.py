@@ -11,6 +11,7 @@ from millrace.llm.common import table
 from millrace.llm.packing import pack
 from millrace.llm.permutation_index import nearest_neighbours
 from millrace.llm.token_counts import count_tokens
+from millrace.llm.url_filters import Rule, judge_urls
 from millrace.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +44,56 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_nearest_neighbours")
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(table(spark, sf_dir, "embeddings"), every=50)
+
+
+RULES = (
+    Rule("allow", "com"),
+    Rule("block", "example.com", "/en/"),
+    Rule("allow", "www.example.com", "/en/"),
+    Rule("block", "net", "/es/"),
+    Rule("block", "net", "/fr/"),
+)
+
+#: Recursion walks the declared edges from every node; the least node reached names the component.
+URL_SQL = r"""
+WITH RECURSIVE parts AS (
+  SELECT page_id, html, url,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages),
+fits AS (
+  SELECT page_id, host, path, rule, v FROM parts,
+    (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+            ('block', 'net', '/es/'), ('block', 'net', '/fr/')) r(v, h, p), LATERAL (SELECT h || p AS rule)
+  WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)),
+own AS (SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(v, length(rule)) AS v FROM fits GROUP BY page_id),
+form AS (
+  SELECT page_id, html, host, path,
+    CASE WHEN contains(url, '://') THEN host || regexp_replace(path, '/+$', '') || CASE WHEN len(kept) = 0 THEN ''
+      ELSE '?' || array_to_string(kept, '&') END END AS node
+  FROM (SELECT *, [x FOR x IN string_split(regexp_extract(url, '(?s)^[^?#]*\?([^#]*)', 1), '&')
+      IF x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)')] AS kept FROM parts)),
+tags AS (SELECT node, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM form),
+targets AS (
+  SELECT node, regexp_extract(tag, '(?is)((?:href|content)\s*=\s*["'']?\s*|url\s*=\s*)(https?://[^"''\s>;]+)', 2) AS t
+  FROM tags WHERE regexp_matches(tag,
+    '(?is)(rel\s*=\s*["'']?canonical\b|property\s*=\s*["'']?og:url\b|http-equiv\s*=\s*["'']?refresh\b)')),
+edges AS (
+  SELECT node AS a, lower(regexp_extract(t, '(?s)^.*?://([^/?#]*)', 1))
+    || regexp_replace(regexp_extract(t, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '/+$', '') AS b FROM targets WHERE t <> ''),
+ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
+reach(node, other) AS (
+  SELECT node, node FROM form WHERE node IS NOT NULL
+  UNION SELECT reach.node, ways.b FROM reach JOIN ways ON reach.other = ways.a),
+alias AS (SELECT node, min(other) AS alias_of FROM reach GROUP BY node),
+marks AS (SELECT alias_of, bool_or(v = 'block') AND NOT coalesce(bool_or(v = 'allow'), false) AS blocked
+  FROM form JOIN alias USING (node) LEFT JOIN own USING (page_id) GROUP BY alias_of)
+SELECT page_id, host, path, rule, coalesce(v, CASE WHEN blocked THEN 'block' ELSE 'allow' END) AS verdict, alias_of
+FROM form LEFT JOIN own USING (page_id) LEFT JOIN alias USING (node) LEFT JOIN marks USING (alias_of)
+"""
+
+
+@query("op2_url_filters", URL_SQL)
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), RULES)
