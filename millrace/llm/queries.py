@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm.common import table
+from millrace.llm import language_id
+from millrace.llm.common import held_out, table
 from millrace.llm.packing import pack
 from millrace.llm.permutation_index import nearest_neighbours
 from millrace.llm.token_counts import count_tokens
@@ -97,3 +98,10 @@ FROM form LEFT JOIN own USING (page_id) LEFT JOIN alias USING (node) LEFT JOIN m
 @query("op2_url_filters", URL_SQL)
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), RULES)
+
+
+@query("op3_language_id")
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.filter(~held_out()))
+    return language_id.predict(docs, model, extra=held_out())
