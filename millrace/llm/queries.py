@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import language_id
+from millrace.llm import language_id, line_quality
 from millrace.llm.common import held_out, table
 from millrace.llm.packing import pack
 from millrace.llm.permutation_index import nearest_neighbours
@@ -105,3 +105,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit(docs.filter(~held_out()))
     return language_id.predict(docs, model, extra=held_out())
+
+
+@query("op9_line_quality")
+def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = line_quality.fit(docs, labels.filter(~held_out()))
+    return line_quality.score(docs, model, extra=held_out())
