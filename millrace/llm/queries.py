@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import language_id, line_quality
 from millrace.llm.common import held_out, table
+from millrace.llm.decontamination import leaks
 from millrace.llm.packing import pack
 from millrace.llm.permutation_index import nearest_neighbours
 from millrace.llm.token_counts import count_tokens
@@ -112,3 +113,25 @@ def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = line_quality.fit(docs, labels.filter(~held_out()))
     return line_quality.score(docs, model, extra=held_out())
+
+
+LEAK_SQL = r"""
+WITH texts AS (
+  SELECT 0 AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
+words AS (
+  SELECT kind, id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w
+  FROM texts),
+grams AS (
+  SELECT DISTINCT kind, id, unnest(CASE WHEN len(w) >= 5
+    THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) > 0 THEN ['short ' || array_to_string(w, ' ')] ELSE [] END) AS g FROM words),
+sizes AS (SELECT id, count(*) AS n FROM grams WHERE kind = 1 GROUP BY id)
+SELECT d.id AS doc_id, i.id AS item_id, count(*) AS shared, count(*) / any_value(n) AS containment
+FROM grams d JOIN grams i ON d.g = i.g AND d.kind = 0 AND i.kind = 1 JOIN sizes ON sizes.id = i.id
+GROUP BY d.id, i.id HAVING count(*) / any_value(n) >= 0.8
+"""
+
+
+@query("op5_benchmark_leaks", LEAK_SQL)
+def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
