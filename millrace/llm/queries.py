@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.llm import language_id, line_quality
 from millrace.llm.common import held_out, table
 from millrace.llm.decontamination import leaks
+from millrace.llm.near_duplicates import near_duplicates
 from millrace.llm.packing import pack
 from millrace.llm.permutation_index import nearest_neighbours
 from millrace.llm.token_counts import count_tokens
@@ -135,3 +136,8 @@ GROUP BY d.id, i.id HAVING count(*) / any_value(n) >= 0.8
 @query("op5_benchmark_leaks", LEAK_SQL)
 def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op8_near_duplicates")
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
