@@ -114,7 +114,7 @@ def fit(
     if not seen:
         vectors.unpersist()
         return {"labels": [], "centroids": np.zeros((0, DIMENSIONS), np.float32), "least": np.zeros(0), "idf": None}
-    idf = np.log((1 + seen) / (1 + parts["df"].sum())) + 1
+    idf = np.log((1 + seen) / (1 + np.vstack(parts["df"]).sum(0))) + 1
 
     def centroids(group: pd.DataFrame) -> pd.DataFrame:
         x = unit_vectors(np.vstack(group["counts"]), idf)

@@ -2,25 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def sampled(rows: DataFrame, key: str, label: str, per_label: int) -> Column:
-    """Condition that keeps about ``per_label`` rows of each label: those whose key has
-    the smallest hashes. Only keys and labels are looked at; one cut-off per label
-    goes through the driver. Rows without a key or label are left out."""
-    narrow = rows.select(F.col(key).alias("k"), F.col(label).alias("l")).filter("k is not null and l is not null")
-    narrow = narrow.withColumn("h", F.xxhash64(F.col("k").cast("string")))
-    order = Window.partitionBy("l").orderBy("h")
-    cuts = (
-        narrow.withColumn("n", F.row_number().over(order))
-        .filter(F.col("n") <= per_label)
-        .groupBy("l")
-        .agg(F.max("h").alias("h"))
-        .collect()
-    )
+    """Condition that keeps about ``per_label`` rows of each label, or all if there are
+    fewer: those whose key has a small hash. Labels are counted first, so the driver
+    gets one row for each label. Rows without a key or label are left out."""
+    known = rows.filter(F.col(key).isNotNull() & F.col(label).isNotNull())
+    place = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 40))
     keep = F.lit(False)
-    for r in cuts:
-        keep = keep | ((F.col(label) == F.lit(r["l"])) & (F.xxhash64(F.col(key).cast("string")) <= r["h"]))
-    return F.coalesce(keep, F.lit(False))
+    for value, n in sorted(known.groupBy(label).count().collect()):
+        upto = (per_label << 40) // max(n, per_label)
+        keep = keep | ((F.col(label) == F.lit(value)) & (place < upto))
+    return F.coalesce(keep & F.col(key).isNotNull(), F.lit(False))
