@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.llm import language_id, line_quality
 from millrace.llm.common import held_out, table
 from millrace.llm.decontamination import leaks
+from millrace.llm.line_dedup import deduplicated_lines
 from millrace.llm.near_duplicates import near_duplicates
 from millrace.llm.packing import pack
 from millrace.llm.permutation_index import nearest_neighbours
@@ -141,3 +142,8 @@ def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_near_duplicates")
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op1_line_dedup")
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deduplicated_lines(table(spark, sf_dir, "documents"))
