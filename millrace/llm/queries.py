@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.llm import language_id, line_quality
 from millrace.llm.common import held_out, table
 from millrace.llm.decontamination import leaks
+from millrace.llm.license_scan import scan_licenses
 from millrace.llm.line_dedup import deduplicated_lines
 from millrace.llm.near_duplicates import near_duplicates
 from millrace.llm.packing import pack
@@ -147,3 +148,8 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_line_dedup")
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicated_lines(table(spark, sf_dir, "documents"))
+
+
+@query("op4_license_scan")
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
