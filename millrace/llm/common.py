@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
-from functools import reduce
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def on_workers(df: DataFrame) -> SparkSession:
+    """Session of ``df``, whose Python workers will look for this package where the driver
+    found it. Executors that have it installed do not need that."""
+    sc = df.sparkSession.sparkContext
+    root = str(Path(__file__).resolve().parents[2])
+    known = sc.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        sc.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+    return df.sparkSession
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back, which cuts its lineage."""
     path = scratch_path(df.sparkSession, label)
@@ -29,10 +41,6 @@ def prepared(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def null_safe(left: str, right: str, names: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(f"{left}.{n}").eqNullSafe(F.col(f"{right}.{n}")) for n in names])
-
-
 def held_out(key: str = "doc_id") -> Column:
     """Rows kept away from learning: a quarter of the ids, by checksum."""
     return F.crc32(F.col(key).cast("string")) % 4 == 2

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import slices
+from millrace.llm.common import on_workers, slices
 from millrace.llm.samples import sampled
 from millrace.llm.textarrays import CHUNK_CHARS, U, codes_of
 
@@ -96,6 +96,7 @@ def fit(
     """Learn centroids from a bounded sample: ``per_label`` rows of each language, by hash
     of the key. A language's sample is clustered in one task; the driver gets the
     document frequencies and the centroids."""
+    on_workers(rows)
     picked = rows.filter(sampled(rows, key, label, per_label)).select(
         F.col(label).alias("label"), F.coalesce(F.col(text), F.lit("")).alias("body")
     )
@@ -143,7 +144,7 @@ def predict(rows: DataFrame, model: dict, key: str = "doc_id", text: str = "text
     ``rejected`` marks texts too far from the language they are nearest to. Ties go
     to the first language in order of name. Repeated rows each get a row.
     """
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    shared = on_workers(rows).sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import slices, stored
+from millrace.llm.common import on_workers, slices, stored
 from millrace.llm.textarrays import CHUNK_CHARS, U, mix, shingles, words
 
 WIDTH = 5
@@ -151,7 +151,7 @@ def scan_licenses(
     A NULL or empty text matches nothing; neither does any text without templates.
     Repeated rows each get a row, NULL keys are kept, other columns are ignored.
     """
-    spark = docs.sparkSession
+    spark = on_workers(docs)
     row = F.xxhash64(F.col(key), F.col(text))
     templates = prepared_templates(texts)
     matched = "row long, license string, containment double, place long"

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import stored
+from millrace.llm.common import on_workers, stored
 
 MIN_WORDS = 40
 
@@ -127,6 +127,7 @@ def _row(key: str, text: str) -> Column:
 
 def repeated_blocks(docs: DataFrame, key: str, text: str, min_words: int) -> DataFrame:
     """``row, blocks``: the line ranges to delete from the documents that lose any."""
+    on_workers(docs)
     trimmed = F.transform(F.split(F.col(text), "\n"), lambda s: F.trim(s))
     lines = docs.filter(F.col(key).isNotNull() & F.col(text).isNotNull()).select(
         _row(key, text).alias("row"), F.col(key).cast("long").alias("id"), trimmed.alias("t")

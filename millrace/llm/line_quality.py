@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import slices
+from millrace.llm.common import on_workers, slices
 from millrace.llm.samples import sampled
 from millrace.llm.textarrays import CHUNK_CHARS, codes_of
 from millrace.llm.textarrays import words as word_hashes
@@ -207,6 +207,7 @@ def fit(
     key, with their first ``TRAIN_LINES`` lines. A key with several labels counts with
     the least. Features of the sample, not texts, go to the driver. Without training
     rows every score is one half."""
+    on_workers(docs)
     one = labels.filter(F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(key).agg(F.min(label).alias("label"))
     picked = one.filter(sampled(one, key, "label", per_label))
     # At most 2 * per_label rows.
@@ -235,6 +236,19 @@ def fit(
     return model
 
 
+def _scored(texts: list[str], model: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Probability of the label 1, share of good text and number of bad lines, a chunk at a time."""
+    out = []
+    for i, j in slices(np.fromiter(map(len, texts), np.int64, len(texts)), CHUNK_CHARS):
+        x, weight, bounds = line_features(texts[i:j])
+        share, good = good_share(x, weight, bounds, model)
+        p = _sigmoid(model["curve"][0] + model["curve"][1] * np.log((share + 0.01) / (1.01 - share)))
+        out.append((p, share, np.add.reduceat((good < 0.5).astype(np.int64), bounds[:-1])))
+    if not out:
+        return np.zeros(0), np.zeros(0), np.zeros(0, np.int64)
+    return tuple(np.concatenate(c) for c in zip(*out))
+
+
 def score(
     docs: DataFrame, model: dict, key: str = "doc_id", text: str = "text", extra: Column | None = None
 ) -> DataFrame:
@@ -243,25 +257,16 @@ def score(
     A NULL or empty text is one empty line. Repeated rows each get a row; other
     columns are ignored; an empty table gives an empty result.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = on_workers(docs).sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
         for b in batches:
-            texts = b.column("body").to_pylist()
-            for i, j in slices(np.fromiter(map(len, texts), np.int64, len(texts)), CHUNK_CHARS):
-                x, weight, bounds = line_features(texts[i:j])
-                share, good = good_share(x, weight, bounds, m)
-                p = _sigmoid(m["curve"][0] + m["curve"][1] * np.log((share + 0.01) / (1.01 - share)))
-                bad = np.add.reduceat((good < 0.5).astype(np.int64), bounds[:-1])
-                part = b.slice(i, j - i)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("k"), part.column("held_out"), pa.array(p),
-                        pa.array((p >= THRESHOLD).astype(np.int32)), pa.array(share), pa.array(bad),
-                    ],
-                    names=[key, "held_out", "score", "predicted", "good_share", "bad_lines"],
-                )
+            p, share, bad = _scored(b.column("body").to_pylist(), shared.value)
+            found = [pa.array(p), pa.array((p >= THRESHOLD).astype(np.int32)), pa.array(share), pa.array(bad)]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("k"), b.column("held_out"), *found],
+                names=[key, "held_out", "score", "predicted", "good_share", "bad_lines"],
+            )
 
     held = F.lit(False) if extra is None else extra
     given = docs.select(F.col(key).alias("k"), held.alias("held_out"), F.coalesce(F.col(text), F.lit("")).alias("body"))
@@ -269,3 +274,15 @@ def score(
     return given.mapInArrow(
         run, f"{key} {kind}, held_out boolean, score double, predicted int, good_share double, bad_lines long"
     )
+
+
+def accepted(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose score is ``THRESHOLD`` or more."""
+    shared = on_workers(docs).sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [t or "" for t in b.column(text).to_pylist()]
+            yield b.filter(pa.array(_scored(texts, shared.value)[0] >= THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema)

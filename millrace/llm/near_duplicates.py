@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import slices, stored
+from millrace.llm.common import on_workers, slices, stored
 from millrace.llm.components import connected_components
 from millrace.llm.textarrays import CHUNK_CHARS, U, mix, shingles
 
@@ -143,7 +143,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     document, with one of its texts if they differ. Shingles are compared by 32 bits
     of their hashes. An empty table gives an empty result.
     """
-    spark = docs.sparkSession
+    on_workers(docs)
     body = F.coalesce(F.col(text), F.lit(""))
     given = docs.filter(F.col(key).isNotNull()).select(
         F.col(key).cast("long").alias("id"), F.md5(body).alias("content"), body.alias("body")

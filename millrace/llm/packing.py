@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import stored
+from millrace.llm.common import on_workers, stored
 
 PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 #: Rests are put into classes of this many lengths; more classes waste less and take the solver longer.
@@ -113,6 +113,21 @@ def best_pattern(size: np.ndarray, value: np.ndarray, capacity: int) -> tuple[fl
     return float(best[capacity]), pattern
 
 
+def inverted(m: np.ndarray) -> np.ndarray:
+    """Inverse by Gauss-Jordan elimination. Matrices are small here, and a threaded library
+    routine spends its time waiting when the machine is busy."""
+    n = len(m)
+    both = np.hstack([m, np.eye(n)])
+    for i in range(n):
+        k = i + int(np.abs(both[i:, i]).argmax())
+        both[[i, k]] = both[[k, i]]
+        both[i] /= both[i, i]
+        rest = both[:, i].copy()
+        rest[i] = 0
+        both -= np.outer(rest, both[i])
+    return both[:, n:]
+
+
 def cutting_stock(demand: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
     """Patterns ``{size: how many}`` and their numbers of uses that hold exactly ``demand``."""
     size = np.array(sorted(s for s, n in demand.items() if n > 0))
@@ -126,7 +141,7 @@ def cutting_stock(demand: dict[int, int], capacity: int) -> list[tuple[dict[int,
     use = apart / first
     for step in range(1, STEPS_PER_CLASS * len(size)):
         if step % 500 == 0:  # rounding errors of the updates add up
-            inverse = np.linalg.inv(basis)
+            inverse = inverted(basis)
             use = np.maximum((inverse * apart).sum(1), 0)
         value, pattern = best_pattern(size, inverse.sum(0), capacity)
         if value <= 1 + GAP:
@@ -199,7 +214,7 @@ def pack(
     gives an empty result. A sequence that ends up at a power of two needs no
     padding; every other one is padded to ``capacity``.
     """
-    spark = docs.sparkSession
+    spark = on_workers(docs)
     narrow = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("body"))
     pieces = stored(narrow.mapInArrow(_pieces(path, ranks, capacity, end_id), PIECE_SCHEMA), "pieces")
     # Class 0 holds the full sequences.

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import stored
+from millrace.llm.common import on_workers, stored
 
 CACHE_SCHEMA = "content string, tokenizer string, n_tokens long"
 MEMO_WORDS = 800_000
@@ -112,6 +112,7 @@ def read_cache(spark: SparkSession, cache: str, version: str) -> DataFrame:
 
 def add_missing(docs: DataFrame, cache: str, path: str, text: str = "text") -> None:
     """Encode each distinct content of ``docs`` that the cache lacks and append its count."""
+    on_workers(docs)
     version = tokenizer_digest(path)
     body = normalised(F.col(text))
     # One row per content leaves each map task, so no group of copies meets in one place.
