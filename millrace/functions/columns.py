@@ -66,6 +66,14 @@ def surrogate_key(*parts: str | Column) -> Column:
     return F.sha2(F.concat_ws("||", *[as_column(p).cast("string") for p in parts]), 256)
 
 
+def group_key(*parts: str | Column) -> Column:
+    """SHA-256 over parts of which any may be NULL: each is led by its length, NULL is ``-``."""
+    texts = [as_column(p).cast("string") for p in parts]
+    return F.sha2(
+        F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]), 256
+    )
+
+
 def normalize_text(c: str | Column) -> Column:
     """Lower case, trimmed, inner white space reduced to one blank."""
     return F.trim(F.regexp_replace(F.lower(as_column(c)), r"\s+", " "))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.collections import explode_rows
 from millrace.functions.columns import as_column, money, money_total
+from millrace.operators.joins import null_safe_join
 from millrace.operators.skew import MAX_PIECES, MIN_PIECE_ROWS, OrderedSplit
 
 
@@ -122,13 +123,14 @@ def group_collect(
     min_piece_rows: int = MIN_PIECE_ROWS,
     max_pieces: int = MAX_PIECES,
 ) -> DataFrame:
-    """Sorted distinct values per key, in numbered lists of at most ``list_length``.
+    """Sorted values per key, repeats kept, in numbered lists of at most ``list_length``.
 
     A key with few values gives one list; a key with millions gives several, so
     that no single row has to hold an unbounded group. Nothing is cut off.
     """
-    pairs = df.select(key, value).distinct()
-    split = OrderedSplit(pairs, [key], [value], min_piece_rows, max_pieces, weigh=df)
+    # Equal values change places freely; the row number lets a value that repeats very often be cut too.
+    pairs = df.select(key, value).withColumn("_row", F.monotonically_increasing_id())
+    split = OrderedSplit(pairs, [key], [value, "_row"], min_piece_rows, max_pieces)
     numbered = split.done(split.row_number(split.df, "_n"))
     part = F.floor((F.col("_n") - 1) / list_length).cast("long")
     return (
@@ -151,5 +153,5 @@ def refresh_aggregate(
     is taken over. Pass all facts, the changed rows included.
     """
     touched = changed.select(*keys).distinct()
-    fresh = facts.join(touched, list(keys), "left_semi").groupBy(*keys).agg(*[c.alias(n) for n, c in aggregates.items()])
-    return current.join(touched, list(keys), "left_anti").unionByName(fresh)
+    fresh = null_safe_join(facts, touched, keys, "left_semi").groupBy(*keys).agg(*[c.alias(n) for n, c in aggregates.items()])
+    return null_safe_join(current, touched, keys, "left_anti").unionByName(fresh)

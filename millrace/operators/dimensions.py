@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import or_unknown, surrogate_key, text_to_number
+from millrace.functions.columns import group_key, or_unknown, text_to_number
 from millrace.operators.joins import join_point_in_time
 
 UNKNOWN_KEY = "unknown"
@@ -64,7 +64,8 @@ def fact_surrogate_lookup(
 def snowflake_dimension(
     dim: DataFrame, attributes: Sequence[str], sk: str, parts: Sequence[Column] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Move an attribute group to its own table; the dimension keeps the key."""
-    key = surrogate_key(*(parts or attributes)).alias(sk)
-    sub = dim.select(key, *attributes).distinct()
-    return sub, dim.withColumn(sk, surrogate_key(*(parts or attributes))).drop(*attributes)
+    """Move an attribute group to its own table; the dimension keeps the key. NULL is an
+    attribute value of its own."""
+    key = group_key(*(parts or attributes))
+    sub = dim.select(key.alias(sk), *attributes).distinct()
+    return sub, dim.withColumn(sk, key).drop(*attributes)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 
 from millrace.operators.cleansing import dedup_latest
-from millrace.operators.joins import newer_than_target
+from millrace.operators.joins import newer_than_target, null_safe_join
 from millrace.operators.merge import merge_upsert
 
 
@@ -34,9 +34,11 @@ def incremental_model(
 
 
 def late_partition_reprocess(facts: DataFrame, late: DataFrame, date_column: str) -> DataFrame:
-    """All rows, old and late, of exactly the days that received late rows.
+    """All rows, old and late, of exactly the days that received late rows; rows without
+    a day are a partition like any other.
 
     Hand the result to a dynamic partition overwrite.
     """
     days = late.select(date_column).distinct()
-    return facts.join(days, date_column, "left_semi").select(*facts.columns).unionByName(late.select(*facts.columns))
+    touched = null_safe_join(facts, days, [date_column], "left_semi")
+    return touched.select(*facts.columns).unionByName(late.select(*facts.columns))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +25,13 @@ def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES)
     return F.broadcast(df) if estimated_bytes(df) <= limit_bytes else df
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on equal keys, NULL equal to NULL; the keys of ``right`` are not repeated."""
+    other = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return left.join(other, same, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def join_broadcast(
     big: DataFrame,
     small: DataFrame,
@@ -106,7 +114,9 @@ def join_point_in_time(
     ends = F.coalesce(F.col(end).cast("timestamp_ntz"), F.lit(OPEN_END).cast("timestamp_ntz"))
     # At equal time a version precedes the facts, and an empty version precedes its successor.
     starts = F.col(start).cast("timestamp_ntz").alias("_t")
-    version_rows = versions.select(
+    # As in a range join, a version without key or start matches nothing.
+    usable = F.col(key).isNotNull() & F.col(start).isNotNull()
+    version_rows = versions.filter(usable).select(
         key, starts, F.lit(0).alias("_kind"), ends.cast("string").alias("_tie"), F.struct(ends.alias("_ends"), F.struct(*carried).alias("_version")).alias("_cand")
     )
     fact_rows = facts.select(
@@ -121,7 +131,7 @@ def join_point_in_time(
     weights = fact_rows.select(key, *order).unionByName(
         version_rows.select(key, *order)
         if weigh_versions is None
-        else weigh_versions.select(key, starts, F.lit(0).alias("_kind"), F.lit("").alias("_tie"))
+        else weigh_versions.filter(usable).select(key, starts, F.lit(0).alias("_kind"), F.lit("").alias("_tie"))
     )
     split = OrderedSplit(line, [key], order, min_piece_rows, max_pieces, weigh=weights)
     seen = split.last_known(split.df, "_last", "_cand").filter("_kind = 1")
@@ -135,7 +145,13 @@ def join_point_in_time(
 
 
 def newer_than_target(source: DataFrame, target: DataFrame, column: str, inclusive: bool = False) -> DataFrame:
-    """Rows beyond the highest value of ``target``; an empty target lets all rows through."""
-    high = target.select(F.max(column).alias("m")).scalar()
-    newer = F.col(column) >= high if inclusive else F.col(column) > high
-    return source.filter(high.isNull() | newer)
+    """Rows beyond the highest value of ``target``; an empty target lets all rows through.
+
+    The highest value is fetched first, so that the filter compares with a constant:
+    it reaches the scan and prunes files and partitions of the source.
+    """
+    high = target.agg(F.max(column).cast("string")).first()[0]
+    if high is None:
+        return source
+    mark = F.lit(high).cast(source.schema[column].dataType)
+    return source.filter(F.col(column) >= mark if inclusive else F.col(column) > mark)

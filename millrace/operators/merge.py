@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.cleansing import dedup_latest
@@ -17,9 +17,14 @@ from millrace.operators.joins import broadcast_if_small
 
 
 def _one_per_key(source: DataFrame, keys: Sequence[str], latest: Sequence[Column] | None) -> DataFrame:
-    if latest is None:
-        latest = [F.desc(c) for c in source.columns if c not in keys]
-    return dedup_latest(source, keys, latest)
+    """Without an order, equal rows are one row and different rows of one key are an error."""
+    if latest is not None:
+        return dedup_latest(source, keys, latest)
+    rows = source.distinct()
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(1)))
+    told = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
+    fault = F.raise_error(F.concat(F.lit("several source rows for key "), told, F.lit("; say which is the latest")))
+    return rows.withColumn("_n", number).filter(F.when(F.col("_n") > 1, fault.cast("boolean")).otherwise(True)).drop("_n")
 
 
 def merge_upsert(

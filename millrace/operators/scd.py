@@ -49,6 +49,13 @@ def scd2_detect_changed(
     return pairs.filter(differs).select(*batch.columns)
 
 
+def _not_before(start: Column, effective: Column) -> Column:
+    """The date on which a version ends. A batch dated before the version began is an error:
+    the version would end before it starts."""
+    told = F.concat(F.lit("batch dated "), effective.cast("string"), F.lit(" is older than a current version of "), start.cast("string"))
+    return F.when(effective.cast("timestamp") < start.cast("timestamp"), F.raise_error(told)).otherwise(effective)
+
+
 def scd2_merge(
     dim: DataFrame,
     batch: DataFrame,
@@ -64,7 +71,8 @@ def scd2_merge(
     """
     attributes = [c for c in dim.columns if c not in (key, sk, *HISTORY_COLUMNS)]
     types = {f.name: f.dataType for f in dim.schema.fields}
-    old = dim.filter(CURRENT).select(F.col(key), F.struct(*dim.columns).alias("_old"))
+    current = F.coalesce(F.col(CURRENT), F.lit(False))
+    old = dim.filter(current).select(F.col(key), F.struct(*dim.columns).alias("_old"))
     new = _batch(batch, key, effective).select(F.col(key), F.struct(*attributes, effective).alias("_new"))
     both = old.join(new, key, "full")
 
@@ -72,7 +80,7 @@ def scd2_merge(
         return F.struct(*[values[c].cast(types[c]).alias(c) for c in dim.columns])
 
     kept = {c: F.col(f"_old.{c}") for c in dim.columns}
-    closed = {**kept, END: F.col(f"_new.{effective}"), CURRENT: F.lit(False)}
+    closed = {**kept, END: _not_before(F.col(f"_old.{START}"), F.col(f"_new.{effective}")), CURRENT: F.lit(False)}
     opened = {
         key: F.col(key),
         **{c: F.col(f"_new.{c}") for c in attributes},
@@ -87,7 +95,7 @@ def scd2_merge(
         .when(F.col("_new").isNull() | ~differs, F.array(row(kept)))
         .otherwise(F.array(row(closed), row(opened)))
     )
-    return both.select(F.inline(rows)).unionByName(dim.filter(~F.col(CURRENT)))
+    return both.select(F.inline(rows)).unionByName(dim.filter(~current))
 
 
 def scd2_two_step(
@@ -130,7 +138,7 @@ def _close(dim: DataFrame, gone: DataFrame, key: str) -> DataFrame:
         dim.join(gone, key, "left")
         .withColumns(
             {
-                END: F.when(close, F.col("_gone")).otherwise(F.col(END)),
+                END: F.when(close, _not_before(F.col(START), F.col("_gone"))).otherwise(F.col(END)),
                 CURRENT: F.when(close, F.lit(False)).otherwise(F.col(CURRENT)),
             }
         )
@@ -161,7 +169,7 @@ def scd2_integrity(dim: DataFrame, key: str) -> DataFrame:
     per_key = dim.groupBy(key).agg(
         F.count_if(CURRENT).alias("_current"),
         F.count(F.lit(1)).alias("_versions"),
-        F.count_if(F.col(CURRENT) == F.col(END).isNotNull()).alias("_bad_end"),
+        F.count_if((F.col(CURRENT) == F.col(END).isNotNull()) | F.coalesce(F.col(END) < F.col(START), F.lit(False))).alias("_bad_end"),
     )
     return per_key.agg(
         F.count_if(F.col("_current") > 1).alias("bad_multiple_current"),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import as_column, money
+from millrace.operators.joins import null_safe_join
 from millrace.operators.skew import MAX_PIECES, MIN_PIECE_ROWS, OrderedSplit
 
 
@@ -30,7 +31,7 @@ def nth_distinct_value(df: DataFrame, keys: Sequence[str], value: str, n: int) -
     """
     values = df.select(*keys, value).filter(F.col(value).isNotNull()).distinct()
     nth = nth_row(values, keys, [F.desc(value)], n)
-    return df.join(nth, [*keys, value], "left_semi")
+    return null_safe_join(df, nth, [*keys, value], "left_semi")
 
 
 def top_n_after_aggregate(
@@ -49,17 +50,18 @@ def rank_with_gaps(
     min_piece_rows: int = MIN_PIECE_ROWS,
     max_pieces: int = MAX_PIECES,
 ) -> DataFrame:
-    """RANK by ``value`` descending: one more than the number of larger values.
+    """RANK by ``value`` descending with NULLs last: one more than the number of larger values.
 
     Counts per distinct value are added up and joined back; equal values are
     one counted row, and AQE can split the join for a very frequent value.
     """
-    down = -F.col(value)
-    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")).withColumn("_down", down)
-    split = OrderedSplit(counts, keys, ["_down"], min_piece_rows, max_pieces, weigh=df.withColumn("_down", down))
+    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    split = OrderedSplit(counts, keys, [value], min_piece_rows, max_pieces, weigh=df)
     upto = split.done(split.running_sum(split.df, {"_upto": "_n"}))
-    ranks = upto.select(*keys, value, (F.col("_upto") - F.col("_n") + 1).alias(name))
-    return df.join(ranks, [*keys, value])
+    totals = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_all"))
+    ranks = null_safe_join(upto, totals, keys, "inner")
+    ranks = ranks.select(*keys, value, (F.col("_all") - F.col("_upto") + 1).alias(name))
+    return null_safe_join(df, ranks, [*keys, value], "inner")
 
 
 def running_total(

@@ -123,11 +123,11 @@ def expect_or_fail(spark, sf_dir):
 
 
 SUITE = {
-    "fact_orders.order_id is unique": "SELECT count(*) AS n FROM (SELECT order_id FROM clean GROUP BY order_id HAVING count(*) > 1)",
-    "no null keys/amounts in fact": "SELECT count(*) AS n FROM clean WHERE order_id IS NULL OR amount IS NULL",
-    "all amounts > 0": "SELECT count(*) AS n FROM clean WHERE amount <= 0",
-    "fact -> dim_customer integrity": "SELECT count(*) AS n FROM clean WHERE customer_id NOT IN (SELECT customer_id FROM customers)",
-    "fact -> dim_product integrity": "SELECT count(*) AS n FROM clean WHERE product_id NOT IN (SELECT product_id FROM products)",
+    "one row per order": "SELECT count(*) AS n FROM (SELECT order_id FROM clean GROUP BY order_id HAVING count(*) > 1)",
+    "keys and amounts are there": "SELECT count(*) AS n FROM clean WHERE order_id IS NULL OR amount IS NULL",
+    "amounts are positive": "SELECT count(*) AS n FROM clean WHERE amount <= 0",
+    "customers exist": "SELECT count(*) AS n FROM clean WHERE customer_id NOT IN (SELECT customer_id FROM customers)",
+    "products exist": "SELECT count(*) AS n FROM clean WHERE product_id NOT IN (SELECT product_id FROM products)",
 }
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from millrace.operators import joins, windows
 from millrace.plans import roles
 from millrace.plans.registry import query, table
+from millrace.session import scratch_path
 
 
 @query(
@@ -101,14 +102,17 @@ def lead_next(spark, sf_dir):
 
 @query(
     "growth_mom",
-    """WITH m AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS mth, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS r
-                  FROM orders GROUP BY 1),
-       p AS (SELECT mth, r, lag(r) OVER (ORDER BY mth) AS pr FROM m)
-       SELECT mth, CAST(r AS DOUBLE) AS rev, CAST(pr AS DOUBLE) AS prev,
-              round(100.0 * CAST(r - pr AS DOUBLE) / NULLIF(CAST(pr AS DOUBLE), 0), 1) AS growth_pct FROM p""",
+    """WITH months AS (
+         SELECT make_date(year(o_orderdate), month(o_orderdate), 1) AS first_day, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS sold
+         FROM orders GROUP BY 1)
+       SELECT this.first_day AS month_start, CAST(this.sold AS DOUBLE) AS month_total, CAST(before.sold AS DOUBLE) AS month_before,
+              round(100.0 * CAST(this.sold - before.sold AS DOUBLE) / NULLIF(CAST(before.sold AS DOUBLE), 0), 1) AS change_percent
+       FROM months this LEFT JOIN months before
+         ON before.first_day = (SELECT max(x.first_day) FROM months x WHERE x.first_day < this.first_day)""",
 )
 def growth_mom(spark, sf_dir):
-    return windows.growth_by_month(table(spark, sf_dir, "orders"), "o_orderdate", "o_totalprice")
+    rows = windows.growth_by_month(table(spark, sf_dir, "orders"), "o_orderdate", "o_totalprice")
+    return rows.toDF("month_start", "month_total", "month_before", "change_percent")
 
 
 @query(
@@ -123,19 +127,26 @@ def gap_missing_dates(spark, sf_dir):
 
 @query(
     "streaks",
-    """WITH d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS d FROM events),
-       g AS (SELECT user_id, d, d - CAST(row_number() OVER (PARTITION BY user_id ORDER BY d) AS INTEGER) AS grp FROM d)
-       SELECT user_id, min(d) AS start_date, max(d) AS end_date, count(*) AS streak_len FROM g GROUP BY user_id, grp""",
+    """WITH active AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events),
+       firsts AS (SELECT user_id, day FROM active a WHERE NOT EXISTS (
+         SELECT 1 FROM active b WHERE b.user_id = a.user_id AND b.day = a.day - 1)),
+       lasts AS (SELECT user_id, day FROM active a WHERE NOT EXISTS (
+         SELECT 1 FROM active b WHERE b.user_id = a.user_id AND b.day = a.day + 1))
+       SELECT f.user_id, f.day AS first_day, min(l.day) AS last_day, min(l.day) - f.day + 1 AS days
+       FROM firsts f JOIN lasts l ON l.user_id = f.user_id AND l.day >= f.day GROUP BY f.user_id, f.day""",
 )
 def streaks(spark, sf_dir):
-    return windows.streaks(table(spark, sf_dir, "events"), "user_id", F.col("ts").cast("date"))
+    rows = windows.streaks(table(spark, sf_dir, "events"), "user_id", F.col("ts").cast("date"))
+    return rows.toDF("user_id", "first_day", "last_day", "days")
 
 
 @query(
     "sessionize",
-    """WITH e AS (SELECT event_id, user_id, ts, CASE WHEN ts - lag(ts) OVER w > INTERVAL 30 MINUTE OR lag(ts) OVER w IS NULL
-                         THEN 1 ELSE 0 END AS s FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts))
-       SELECT event_id, user_id, CAST(sum(s) OVER (PARTITION BY user_id ORDER BY ts) AS BIGINT) AS session_no FROM e""",
+    """WITH openers AS (SELECT user_id, ts FROM events a WHERE NOT EXISTS (
+         SELECT 1 FROM events b WHERE b.user_id = a.user_id AND b.event_id <> a.event_id
+           AND b.ts < a.ts AND b.ts >= a.ts - INTERVAL 30 MINUTE))
+       SELECT e.event_id, e.user_id, count(o.ts) AS session_no
+       FROM events e JOIN openers o ON o.user_id = e.user_id AND o.ts <= e.ts GROUP BY e.event_id, e.user_id""",
 )
 def sessionize(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
@@ -153,9 +164,15 @@ def top_k_global(spark, sf_dir):
     return order_by_desc(spark, sf_dir).limit(20)
 
 
-@query("limit_preview")
+@query("limit_preview", "SELECT CAST(10 AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS not_in_table")
 def limit_preview(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").limit(10)
+    """Which rows a preview shows is left to Spark; that there are ten and all are the table's is checked."""
+    lines = table(spark, sf_dir, "lineitem")
+    path = scratch_path(spark, "preview")
+    lines.limit(10).write.parquet(path)
+    shown = spark.read.parquet(path)
+    strange = shown.exceptAll(lines.join(shown, lines.columns, "left_semi"))
+    return shown.agg(F.count(F.lit(1)).alias("n_rows")).crossJoin(strange.agg(F.count(F.lit(1)).alias("not_in_table")))
 
 
 @query(
