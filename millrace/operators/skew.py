@@ -48,6 +48,12 @@ def cuts_not_above(blocks: Column, value: Column) -> Column:
     return F.greatest(full - 1, F.lit(0)) * F.size(blocks[0]) + inside
 
 
+def row_hash(df: DataFrame, *more: Column) -> Column:
+    """Hash of all columns; maps, which Spark does not hash, count as their text."""
+    maps = {f.name for f in df.schema.fields if "map<" in f.dataType.simpleString()}
+    return F.xxhash64(*[F.to_json(F.struct(F.col(c))) if c in maps else F.col(c) for c in df.columns], *more)
+
+
 def heavy_keys(
     df: DataFrame,
     keys: Sequence[str],
@@ -203,7 +209,7 @@ def salted_join(
     )
     # The input partition is part of the hash so that exact copies of a row spread too,
     # and a retried task still gives every row the salt it had before.
-    digest = F.xxhash64(*big.columns, F.spark_partition_id())
+    digest = row_hash(big, F.spark_partition_id())
     spread = F.coalesce(F.pmod(digest, F.col("_salts")).cast("int"), F.lit(0))
     left = _attach(big, hot, keys, "left").withColumn("_salt", spread).drop("_salts")
     copies = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)

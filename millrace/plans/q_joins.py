@@ -21,13 +21,13 @@ def join_inner_equi(spark, sf_dir):
     return lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey"), "inner").drop("o_orderkey")
 
 
-def _big_suppliers(spark, sf_dir):
-    return table(spark, sf_dir, "supplier").filter("s_acctbal > 5000").select(F.col("s_nationkey").alias("nationkey"), "s_suppkey")
+def _suppliers(spark, sf_dir):
+    return table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("nationkey"), "s_suppkey")
 
 
 OUTER = """SELECT {key} AS nationkey, n_name, s_suppkey FROM {tables}"""
 NATIONS = "(SELECT * FROM nation WHERE n_regionkey < 3)"
-SUPPLIERS = "(SELECT * FROM supplier WHERE s_acctbal > 5000)"
+SUPPLIERS = "supplier"
 
 
 def _nations(spark, sf_dir):
@@ -37,12 +37,12 @@ def _nations(spark, sf_dir):
 @query("join_left", OUTER.format(key="s_nationkey", tables=f"{SUPPLIERS} LEFT JOIN {NATIONS} ON s_nationkey = n_nationkey"))
 def join_left(spark, sf_dir):
     """The large side is the kept side: Spark can broadcast the other or split this one."""
-    return _big_suppliers(spark, sf_dir).join(_nations(spark, sf_dir), "nationkey", "left")
+    return _suppliers(spark, sf_dir).join(_nations(spark, sf_dir), "nationkey", "left")
 
 
 @query("join_right", OUTER.format(key="s_nationkey", tables=f"{NATIONS} RIGHT JOIN {SUPPLIERS} ON s_nationkey = n_nationkey"))
 def join_right(spark, sf_dir):
-    return _nations(spark, sf_dir).join(_big_suppliers(spark, sf_dir), "nationkey", "right")
+    return _nations(spark, sf_dir).join(_suppliers(spark, sf_dir), "nationkey", "right")
 
 
 @query(
@@ -50,7 +50,7 @@ def join_right(spark, sf_dir):
     OUTER.format(key="coalesce(s_nationkey, n_nationkey)", tables=f"{NATIONS} FULL JOIN {SUPPLIERS} ON s_nationkey = n_nationkey"),
 )
 def join_full(spark, sf_dir):
-    return joins.join_full(_big_suppliers(spark, sf_dir), _nations(spark, sf_dir), ["nationkey"])
+    return joins.join_full(_suppliers(spark, sf_dir), _nations(spark, sf_dir), ["nationkey"])
 
 
 @query(

@@ -102,11 +102,17 @@ def _rules():
 
 @query(
     "expect",
-    WITH_TYPED + "SELECT order_id, amount, order_date FROM typed",
+    WITH_TYPED
+    + """SELECT 'positive' AS rule, count(*) - count(*) FILTER (amount > 0) AS violations, count(*) AS n_rows FROM typed
+         UNION ALL SELECT 'dated', count(*) - count(order_date), count(*) FROM typed""",
 )
 def expect(spark, sf_dir):
-    rows, _ = quality.expect(_typed(spark, sf_dir), _rules(), scratch_name("expect"))
-    return rows.select("order_id", "amount", "order_date")
+    """All rows pass and are written; the violations are counted on the way."""
+    path = scratch_path(spark, "expected")
+    rows, seen = quality.expect(_typed(spark, sf_dir), _rules(), scratch_name("expect"))
+    rows.write.parquet(path)
+    counts = spark.createDataFrame([(name, seen.get[name]) for name in _rules()], "rule string, violations long")
+    return counts.crossJoin(spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows")))
 
 
 @query(
@@ -188,12 +194,12 @@ def row_filter(spark, sf_dir):
     "pii_scan",
     " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, '{p}' AS pattern, count(*) FILTER (regexp_matches({c}, '{rx}')) AS hits FROM documents"
-        for c in ("text", "source")
+        for c in ("text", "lang", "source")
         for p, rx in security.PII_PATTERNS.items()
     ),
 )
 def pii_scan(spark, sf_dir):
-    return security.pii_scan(table(spark, sf_dir, "documents"), ["text", "source"])
+    return security.pii_scan(table(spark, sf_dir, "documents"), ["text", "lang", "source"])
 
 
 @query(
@@ -218,11 +224,11 @@ def log_search(spark, sf_dir):
     return security.log_search(table(spark, sf_dir, "events"), "user_id", 42, "ts", "2024-01-01", "2024-02-01", failed)
 
 
-LINES = "SELECT l_orderkey, l_partkey, l_suppkey, l_quantity, l_returnflag FROM lineitem"
+LINES = """SELECT * REPLACE (l_discount + 0.0 AS l_discount) FROM lineitem"""
 
 
 def _lines(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag")
+    return table(spark, sf_dir, "lineitem").withColumn("l_discount", F.col("l_discount") + 0.0)
 
 
 @query("compact_files", LINES)
@@ -232,22 +238,20 @@ def compact_files(spark, sf_dir):
     spread = layout.spread_partitions(_lines(spark, sf_dir), 32)
     spread.write.partitionBy("l_returnflag").parquet(small)
     layout.compact_files(spark, small, big, ["l_returnflag"])
-    columns = _lines(spark, sf_dir).columns
-    return spark.read.schema("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_quantity double, l_returnflag string").parquet(big).select(*columns)
+    return layout.read_as_written(spark, big)
 
 
 @query("zorder_layout", LINES)
 def zorder_layout(spark, sf_dir):
     path = scratch_path(spark, "zorder")
-    layout.zorder_layout(_lines(spark, sf_dir), ["l_partkey", "l_suppkey"], 16).write.parquet(path)
+    layout.zorder_layout(_lines(spark, sf_dir), ["l_partkey", "l_shipdate", "l_returnflag"]).write.parquet(path)
     return spark.read.parquet(path)
 
 
-@query("sort_layout", "SELECT o_orderkey, o_orderdate FROM orders")
+@query("sort_layout", "SELECT * FROM orders")
 def sort_layout(spark, sf_dir):
     path = scratch_path(spark, "sorted")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    layout.sort_layout(orders, ["o_orderdate"], 16).write.parquet(path)
+    layout.sort_layout(table(spark, sf_dir, "orders"), ["o_orderdate"]).write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -259,9 +263,10 @@ def sort_layout(spark, sf_dir):
 def bucket_layout(spark, sf_dir):
     """Join and grouping on the bucket column without another shuffle."""
     heads, lines = scratch_name("orders_bucketed"), scratch_name("lines_bucketed")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    layout.bucket_layout(orders, heads, scratch_path(spark, "bo"), ["o_orderkey"], 16)
-    layout.bucket_layout(_lines(spark, sf_dir), lines, scratch_path(spark, "bl"), ["l_orderkey"], 16)
+    orders, detail = table(spark, sf_dir, "orders"), _lines(spark, sf_dir)
+    buckets = layout.file_count(detail)  # the larger side decides for both
+    layout.bucket_layout(orders, heads, scratch_path(spark, "bo"), ["o_orderkey"], buckets)
+    layout.bucket_layout(detail, lines, scratch_path(spark, "bl"), ["l_orderkey"], buckets)
     joined = spark.table(heads).join(spark.table(lines), F.col("o_orderkey") == F.col("l_orderkey"))
     return joined.groupBy("o_orderkey", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
 
@@ -281,10 +286,12 @@ def cache_reuse(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-@query("repartition_coalesce", "SELECT o_orderkey, o_custkey FROM orders")
+@query("repartition_coalesce", "SELECT * FROM orders")
 def repartition_coalesce(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return layout.merge_partitions(layout.spread_partitions(orders, 32, ["o_orderkey"]), 8)
+    """Spread for work on keys, then merged to files of the target size."""
+    orders = table(spark, sf_dir, "orders")
+    files = layout.file_count(orders)
+    return layout.merge_partitions(layout.spread_partitions(orders, 4 * files, ["o_orderkey"]), files)
 
 
 @query(

@@ -230,10 +230,10 @@ def _profile_sql(name: str, columns: dict[str, str]) -> str:
 
 @query(
     "dataset_profile",
-    _profile_sql("customer", {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_mktsegment": "string"}),
+    _profile_sql("customer", {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_acctbal": "double", "c_mktsegment": "string"}),
 )
 def dataset_profile(spark, sf_dir):
-    return readers.dataset_profile(table(spark, sf_dir, "customer").drop("c_acctbal"))
+    return readers.dataset_profile(table(spark, sf_dir, "customer"))
 
 
 @query("export_query", "SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY o_orderpriority")

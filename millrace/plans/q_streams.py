@@ -10,16 +10,35 @@ from millrace.plans.registry import query, table
 from millrace.session import scratch_path
 from millrace.streaming import streams as S
 
-EVENTS = "SELECT event_id, ts, user_id, event_type, value FROM events"
+EVENTS = "SELECT * FROM events"
 
 
 def _events(spark, sf_dir, zoned=True):
-    # The file stream wants a folder or a pattern; this pattern fits a file and a folder.
+    # The file stream wants a folder or a pattern; this pattern fits a file and a folder of just this name.
     schema = table(spark, sf_dir, "events").schema
-    stream = S.stream_files(spark, f"{sf_dir}/events*.parquet", schema).drop("props")
+    stream = S.stream_files(spark, f"{sf_dir}/event[s].parquet", schema)
     return S.with_event_time(stream, "ts") if zoned else stream
 
 
+#: Events come in weekly deliveries, some of them a delivery late.
+ARRIVAL = "CAST(day(ts) / 7 AS INT) + CASE WHEN event_id % 97 = 0 THEN 1 ELSE 0 END"
+ARRIVAL_SQL = "CAST(day(ts) // 7 AS INT) + CASE WHEN event_id % 97 = 0 THEN 1 ELSE 0 END"
+DELIVERIES = 6
+
+
+def _deliver(spark, sf_dir, start, late=True, zoned=False):
+    """Deliver the events one part after the other; ``start`` gets the stream and runs it to the
+    end of what is there, each time from the same checkpoint."""
+    inbox = scratch_path(spark, "inbox")
+    events = table(spark, sf_dir, "events").withColumn("_arrival", F.expr(ARRIVAL if late else "CAST(day(ts) / 7 AS INT)"))
+    schema = events.drop("_arrival").schema
+    for n in range(DELIVERIES):
+        events.filter(F.col("_arrival") == n).drop("_arrival").write.mode("append").parquet(inbox)
+        stream = S.stream_files(spark, inbox, schema)
+        start(S.with_event_time(stream, "ts") if zoned else stream)
+    return schema
+
+
 def _plain(df, *columns):
     """Back to zone-less times, as in the input."""
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
@@ -112,43 +131,57 @@ def stream_session(spark, sf_dir):
 
 @query("stream_dedup", EVENTS)
 def stream_dedup(spark, sf_dir):
-    """Every event is delivered twice and written once."""
+    """Every event comes twice, in deliveries that run one after the other, and is written once."""
     out = scratch_path(spark, "dedup")
-    events = _events(spark, sf_dir)
-    twice = events.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("_copy")
-    unique = S.dedup_stream(twice, "ts", "1 hour", ["event_id"])
-    S.run_to_end(S.append_files(unique, f"{out}/data"), f"{out}/checkpoint")
-    return _plain(spark.read.schema(unique.schema).parquet(f"{out}/data"), "ts")
+
+    def run(events):
+        twice = events.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("_copy")
+        unique = S.dedup_stream(twice, "ts", "1 hour", ["event_id"])
+        S.run_to_end(S.append_files(unique, f"{out}/data"), f"{out}/checkpoint")
+
+    _deliver(spark, sf_dir, run, late=False, zoned=True)
+    return _plain(spark.read.parquet(f"{out}/data"), "ts")
 
 
-LATEST = """SELECT user_id, ts, event_id, event_type, value FROM (
+LATEST = """SELECT user_id, ts, event_id, event_type, value, props FROM (
               SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1"""
 
 
 @query("stream_merge", LATEST)
 def stream_merge(spark, sf_dir):
-    out = scratch_path(spark, "merge")
-    events = _events(spark, sf_dir, zoned=False).select("user_id", "ts", "event_id", "event_type", "value")
-    writer = S.stream_merge(events, f"{out}/table", ["user_id"], [F.desc("ts"), F.desc("event_id")])
-    S.run_to_end(writer, f"{out}/checkpoint")
-    return S.read_change_log(spark, f"{out}/table", events.schema, ["user_id"])
+    """Deliveries with late events in them: an old event in a new delivery changes nothing."""
+    out, latest = scratch_path(spark, "merge"), [F.desc("ts"), F.desc("event_id")]
+    schema = _deliver(
+        spark,
+        sf_dir,
+        lambda events: S.run_to_end(S.stream_merge(events, f"{out}/table", ["user_id"], latest), f"{out}/checkpoint"),
+    )
+    return S.read_change_log(spark, f"{out}/table", schema, ["user_id"], latest)
 
 
 @query("stream_latest_state", LATEST)
 def stream_latest_state(spark, sf_dir):
-    latest = S.latest_state(_events(spark, sf_dir, zoned=False), ["user_id"], ["ts", "event_id"], ["event_type", "value"])
+    latest = S.latest_state(_events(spark, sf_dir, zoned=False), ["user_id"], ["ts", "event_id"], ["event_type", "value", "props"])
     return _logged(spark, latest, "latest", ["user_id"])
 
 
-@query("stream_late_data", "SELECT event_id, ts, user_id, CAST(ts AS DATE) AS event_date, 'on_time' AS target FROM events")
+@query(
+    "stream_late_data",
+    f"""WITH e AS (SELECT *, {ARRIVAL_SQL} AS arrival FROM events),
+       highs AS (SELECT arrival, max(ts) AS high FROM e GROUP BY arrival),
+       before AS (SELECT a.arrival, max(b.high) AS high FROM highs a LEFT JOIN highs b ON b.arrival < a.arrival GROUP BY a.arrival)
+       SELECT event_id, ts, user_id, event_type, value, props, CAST(ts AS DATE) AS event_date,
+              CASE WHEN ts < before.high - INTERVAL 1 HOUR THEN 'late' ELSE 'on_time' END AS target
+       FROM e JOIN before USING (arrival)""",
+)
 def stream_late_data(spark, sf_dir):
-    """One micro-batch has no earlier high mark, so all rows are on time; tests feed late ones."""
     out = scratch_path(spark, "late")
-    events = _events(spark, sf_dir, zoned=False).select("event_id", "ts", "user_id")
-    S.run_to_end(S.split_late(events, "ts", "1 hour", out), f"{out}/checkpoint")
-    dated = T.StructType([*events.schema.fields, T.StructField("event_date", T.DateType())])
+    schema = _deliver(
+        spark, sf_dir, lambda events: S.run_to_end(S.split_late(events, "ts", "1 hour", out), f"{out}/checkpoint")
+    )
+    dated = T.StructType([*schema.fields, T.StructField("event_date", T.DateType())])
     on_time = S.read_batches(spark, f"{out}/on_time", dated).withColumn("target", F.lit("on_time"))
-    late = S.read_batches(spark, f"{out}/late", events.schema).withColumns(
+    late = S.read_batches(spark, f"{out}/late", schema).withColumns(
         {"event_date": F.col("ts").cast("date"), "target": F.lit("late")}
     )
     return on_time.unionByName(late).drop(S.BATCH)
@@ -156,15 +189,20 @@ def stream_late_data(spark, sf_dir):
 
 @query(
     "stream_threshold_alert",
-    """SELECT event_id, user_id, ts, value FROM (
+    """SELECT event_id, ts, user_id, event_type, value, props FROM (
          SELECT *, lag(value > 50) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS was FROM events)
        WHERE value > 50 AND NOT coalesce(was, false)""",
 )
 def stream_threshold_alert(spark, sf_dir):
     out = scratch_path(spark, "alerts")
-    events = _events(spark, sf_dir, zoned=False).select("event_id", "user_id", "ts", "value")
-    S.run_to_end(S.threshold_alerts(events, "user_id", "ts", "event_id", F.col("value") > 50, out), f"{out}/checkpoint")
-    return S.read_batches(spark, f"{out}/alerts", events.schema).drop(S.BATCH)
+    """Deliveries in event order; a device that is still beyond its limit gives no second alert."""
+
+    def run(events):
+        alerts = S.threshold_alerts(events, "user_id", "ts", "event_id", F.col("value") > 50, out)
+        S.run_to_end(alerts, f"{out}/checkpoint")
+
+    schema = _deliver(spark, sf_dir, run, late=False)
+    return S.read_batches(spark, f"{out}/alerts", schema).drop(S.BATCH)
 
 
 @query(
@@ -194,7 +232,7 @@ def hot_cold_split(spark, sf_dir):
     out = scratch_path(spark, "split")
     events = _events(spark, sf_dir)
     live = S.tumbling(events, "ts", "1 day", "1 hour", ["event_type"], _counts())
-    hot, cold = S.hot_cold(events, live, "ts", out, hourly=False)
+    hot, cold = S.hot_cold(events, live, "ts", out)
     S.run_to_end(hot, f"{out}/checkpoint_hot")
     S.run_to_end(cold, f"{out}/checkpoint_cold")
     counts = S.read_change_log(spark, f"{out}/hot", live.schema, ["window_start", "event_type"])

@@ -75,16 +75,21 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return spark.read.schema(full).parquet(path)
 
 
-def read_change_log(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
-    """Latest row per key over all batches."""
+def read_change_log(
+    spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], latest: Sequence[Column] = ()
+) -> DataFrame:
+    """Latest row per key over all batches, by ``latest`` and then by batch: without an order
+    the last batch wins, with one an old row in a later batch does not."""
     rows = read_batches(spark, path, schema)
-    return dedup_latest(rows, keys, [F.desc(BATCH)]).drop(BATCH)
+    return dedup_latest(rows, keys, [*latest, F.desc(BATCH)]).drop(BATCH)
 
 
-def compact_change_log(spark: SparkSession, path: str, target: str, schema: T.StructType, keys: Sequence[str]) -> None:
+def compact_change_log(
+    spark: SparkSession, path: str, target: str, schema: T.StructType, keys: Sequence[str], latest: Sequence[Column] = ()
+) -> None:
     """Latest row per key, written under its own batch to ``target``. A stopped
     stream can go on there with its old checkpoint, since batch numbers only grow."""
-    last = dedup_latest(read_batches(spark, path, schema), keys, [F.desc(BATCH)])
+    last = dedup_latest(read_batches(spark, path, schema), keys, [*latest, F.desc(BATCH)])
     last.hint("rebalance").write.mode("errorifexists").partitionBy(BATCH).parquet(target)
 
 
@@ -127,7 +132,8 @@ def latest_state(stream: DataFrame, keys: Sequence[str], order: Sequence[str], c
 
 
 def stream_merge(stream: DataFrame, path: str, keys: Sequence[str], latest: Sequence[Column]) -> DataStreamWriter:
-    """Upsert every micro-batch into the keyed table at ``path``; read it with ``read_change_log``."""
+    """Upsert every micro-batch into the keyed table at ``path``; read it with ``read_change_log``
+    and the same ``latest``."""
 
     def upsert(df: DataFrame, batch_id: int) -> None:
         write_batch(dedup_latest(df, keys, latest), path, batch_id)
@@ -199,6 +205,13 @@ def threshold_alerts(
     """
 
     def detect(df: DataFrame, batch_id: int) -> None:
+        df.persist()
+        try:
+            alert(df, batch_id)
+        finally:
+            df.unpersist()
+
+    def alert(df: DataFrame, batch_id: int) -> None:
         rows = df.withColumn("_breached", F.coalesce(breached, F.lit(False)))
         state_schema = T.StructType([df.schema[device], df.schema[ts], df.schema[unique], T.StructField("_breached", T.BooleanType())])
         known = rows.select(device, ts, unique, "_breached")

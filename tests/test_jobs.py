@@ -92,9 +92,21 @@ def test_buckets_join_without_a_shuffle(spark, tmp_path):
 def test_heavy_key_is_not_bucketed(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(layout, "MIN_PIECE_ROWS", 10)
     df = spark.range(1000).selectExpr("IF(id % 3 = 0, 0, id) AS k", "id")
-    assert not layout.bucket_layout(df, "bucket_hot", str(tmp_path / "h"), ["k"], 8)
-    assert layout.bucket_layout(df, "bucket_even", str(tmp_path / "e"), ["id"], 8)
-    assert same_rows(df, spark.table("bucket_hot"))
+    with pytest.raises(ValueError, match=r"key \(0,\)"):
+        layout.bucket_layout(df, "bucket_hot", str(tmp_path / "h"), ["k"], 8)
+    layout.bucket_layout(df, "bucket_even", str(tmp_path / "e"), ["id"], 8)
+    assert same_rows(df, spark.table("bucket_even"))
+
+
+def test_layout_of_text_dates_maps_and_padded_folders(spark, tmp_path):
+    df = spark.range(500).selectExpr(
+        "lpad(id % 7, 2, '0') AS z", "concat('n', id) AS name", "date_add(DATE '2024-01-01', CAST(id AS INT)) AS d", "map('k', id) AS m"
+    )
+    df.write.partitionBy("z").parquet(str(tmp_path / "in"))
+    layout.compact_files(spark, str(tmp_path / "in"), str(tmp_path / "out"), ["z"])
+    assert {r.z for r in layout.read_as_written(spark, str(tmp_path / "out")).select("z").collect()} == {f"{i:02}" for i in range(7)}
+    for laid in (layout.zorder_layout(df, ["d", "name"], 4), layout.sort_layout(df, ["d"], 4)):
+        assert same_rows(df.drop("m"), laid.drop("m"))
 
 
 def test_broadcast_only_below_the_limit(spark, sf_dir):

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import gzip
 import json
 
 import pytest
@@ -137,6 +138,30 @@ def test_forgotten_files_are_read_again(feed):
     assert rows(ledger.table(), "id") == [(1,), (3,)]
 
 
+def test_compressed_and_rewritten_files_and_single_backfill(feed):
+    inbox, ledger = feed
+    with gzip.open(inbox / "a.json.gz", "wt") as f:
+        f.write('{"id": 1}')
+    (inbox / "b.txt").write_text('{"id": 2}')
+    (inbox / "c.json").write_text('{"id": 3}')
+    assert ledger.load_new_files() == 3
+    (inbox / "c.json").write_text('{"id": 4, "amount": 1}')
+    assert ledger.load_new_files() == 1
+    assert rows(ledger.table(), "id") == [(1,), (2,), (4,)]
+    assert ledger.forget(F.col("path").endswith("b.txt")) == 1
+    assert rows(ledger.table(), "id") == [(1,), (4,)]
+    assert ledger.load_new_files() == 1
+    assert rows(ledger.table(), "id") == [(1,), (2,), (4,)]
+
+
+def test_csv_feed(spark, tmp_path):
+    inbox = tmp_path / "csv"
+    inbox.mkdir()
+    (inbox / "a.csv").write_text("id,amount\n1,2.5\n2,\n")
+    ledger = FileLedger(spark, str(inbox), str(tmp_path / "feed_csv"), "id int, amount double", "csv")
+    assert ledger.load_new_files() == 1 and rows(ledger.table(), "id", "amount") == [(1, 2.5), (2, None)]
+
+
 def test_load_survives_a_crash_before_the_ledger_entry(feed, spark):
     inbox, ledger = feed
     (inbox / "a.json").write_text('{"id": 1}')
