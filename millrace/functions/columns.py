@@ -85,11 +85,12 @@ def hide_emails(c: str | Column, replacement: str = "***") -> Column:
     return F.when(F.contains(c, F.lit("@")), F.regexp_replace(c, EMAIL_PATTERN, replacement)).otherwise(c)
 
 
-def first_email(c: str | Column) -> Column:
-    """First e-mail address in lower case, NULL if there is none."""
+def emails(c: str | Column) -> Column:
+    """All e-mail addresses in lower case, in order and each once; an empty array if there are none."""
     c = as_column(c)
-    found = F.when(F.contains(c, F.lit("@")), F.regexp_extract(c, EMAIL_PATTERN, 0))
-    return F.nullif(F.lower(found), F.lit(""))
+    found = F.regexp_extract_all(c, F.lit(EMAIL_PATTERN), F.lit(0))
+    none = F.array().cast("array<string>")
+    return F.when(F.contains(c, F.lit("@")), F.array_distinct(F.transform(found, lambda e: F.lower(e)))).otherwise(none)
 
 
 def salted_hash(c: str | Column, salt: str) -> Column:

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.collections import explode_rows
 from millrace.session import checkpoint_root
@@ -14,15 +15,20 @@ from millrace.session import checkpoint_root
 def match_entities(records: DataFrame, record_id: str, rules: Mapping[str, Column]) -> DataFrame:
     """``(record_id, entity_id)``: records that share a rule's key are one entity, transitively.
 
-    A rule is a normalized key expression; NULL matches nothing. Records are
+    A rule is a normalized key expression, or an array of several keys; NULL matches nothing. Records are
     linked to key values, never to each other, so a key shared by very many
     records costs one edge per record and no pair is ever formed. The smallest
     id spreads along the edges until nothing changes; each round also jumps to
     the label's own label, which keeps the number of rounds logarithmic.
     """
     checkpoint_root(records.sparkSession)
-    keyed = [F.when(k.isNotNull(), F.concat(F.lit(f"{n}:"), k.cast("string"))) for n, k in rules.items()]
-    edges = explode_rows(records, F.array(*keyed), "_node", F.col(record_id).alias("_id")).distinct()
+    kinds = records.select(*[k.alias(n) for n, k in rules.items()]).schema
+    several = {n: k if isinstance(kinds[n].dataType, T.ArrayType) else F.array(k) for n, k in rules.items()}
+    keyed = [
+        F.transform(F.array_compact(F.coalesce(k, F.array())), lambda v, n=n: F.concat(F.lit(f"{n}:"), v.cast("string")))
+        for n, k in several.items()
+    ]
+    edges = explode_rows(records, F.concat(*keyed), "_node", F.col(record_id).alias("_id")).distinct()
     shared = edges.groupBy("_node").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_low")).filter("_n > 1")
     edges = edges.join(shared.select("_node", "_low"), "_node").checkpoint()
 
@@ -67,5 +73,11 @@ def golden_record(
     preferred: Sequence[str],
     columns: Sequence[str],
 ) -> DataFrame:
-    matched = records.join(match_entities(records, record_id, rules), record_id)
+    """``records`` should hold only what rules and survivors need: it is computed once and kept
+    in the checkpoint folder."""
+    checkpoint_root(records.sparkSession)
+    keys = {f"_rule_{n}": k for n, k in rules.items()}
+    named = dict.fromkeys([record_id, *preferred, *columns])
+    kept = records.select(*named, *[k.alias(n) for n, k in keys.items()]).checkpoint()
+    matched = kept.join(match_entities(kept, record_id, {n: F.col(n) for n in keys}), record_id)
     return survivorship(matched, "entity_id", preferred, columns)

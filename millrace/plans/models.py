@@ -7,7 +7,9 @@ from dataclasses import dataclass, field
 from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from millrace.operators.incremental import incremental_model
 from millrace.operators.quality import enforce
 
 Build = Callable[..., DataFrame]
@@ -18,14 +20,18 @@ Test = Callable[[DataFrame], DataFrame]
 class Model:
     """``build`` gets its inputs as keyword arguments; ``tests`` return check rows.
 
-    ``materialized`` is ``view`` (stays a plan) or ``table`` (written to Parquet
-    and read back, so that several consumers do not compute it again).
+    ``materialized`` is ``view`` (stays a plan), ``table`` (written to Parquet and
+    read back, so that several consumers do not compute it again) or ``incremental``:
+    a table whose first run builds it and whose later runs merge the rows not older
+    than it by ``newer``, the latest row of each of ``keys`` winning.
     """
 
     name: str
     build: Build
     inputs: tuple[str, ...] = ()
     materialized: str = "view"
+    keys: tuple[str, ...] = ()
+    newer: str | None = None
     tests: tuple[Test, ...] = field(default=())
 
 
@@ -35,15 +41,28 @@ def build_order(models: Mapping[str, Model]) -> list[str]:
 
 
 def run_models(
-    sources: Mapping[str, DataFrame], models: list[Model], spark: SparkSession, root: str
+    sources: Mapping[str, DataFrame],
+    models: list[Model],
+    spark: SparkSession,
+    root: str,
+    previous: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
-    """All models by name. A failed test stops the run before any consumer is built."""
+    """All models by name. A failed test stops the run before any consumer is built.
+
+    ``root`` is a folder of this run; ``previous`` holds the models of the run before,
+    which incremental models go on from.
+    """
     by_name = {m.name: m for m in models}
     done = dict(sources)
     for name in build_order(by_name):
         model = by_name[name]
         df = model.build(**{i: done[i] for i in model.inputs})
-        if model.materialized == "table":
+        if model.materialized == "incremental":
+            if not model.keys or model.newer is None:
+                raise ValueError(f"incremental model {name!r} needs keys and newer")
+            rest = [F.desc(c) for c in df.columns if c != model.newer]
+            df = incremental_model((previous or {}).get(name), df, model.keys, model.newer, [F.desc(model.newer), *rest])
+        if model.materialized in ("table", "incremental"):
             df.write.mode("errorifexists").parquet(f"{root}/{name}")
             df = spark.read.parquet(f"{root}/{name}")
         elif model.materialized != "view":

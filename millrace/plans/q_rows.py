@@ -256,9 +256,10 @@ def standardize_orders(spark, sf_dir):
     rf"""WITH RECURSIVE rec AS (
            SELECT doc_id, source, lang, n_chars, trim(regexp_replace(lower(text), '[ \t\n\f\r]+', ' ', 'g')) AS norm,
                   NULLIF(lower(regexp_extract(text, '{C.EMAIL_PATTERN}', 0)), '') AS email FROM documents),
+         mail AS (SELECT doc_id, lower(unnest(regexp_extract_all(text, '{C.EMAIL_PATTERN}'))) AS address FROM documents),
          ent AS (
            SELECT a.doc_id AS a, b.doc_id AS b FROM rec a JOIN rec b ON a.norm = b.norm
-           UNION SELECT a.doc_id, b.doc_id FROM rec a JOIN rec b ON a.email = b.email),
+           UNION SELECT a.doc_id, b.doc_id FROM mail a JOIN mail b ON a.address = b.address),
          walk(a, b) AS (SELECT doc_id, doc_id FROM rec UNION SELECT w.a, e.b FROM walk w JOIN ent e ON w.b = e.a),
          lab AS (SELECT a AS doc_id, min(b) AS entity_id FROM walk GROUP BY a)
        SELECT entity_id, count(*) AS n_records, arg_max(email, (n_chars, rec.doc_id)) FILTER (email IS NOT NULL) AS email,
@@ -266,12 +267,12 @@ def standardize_orders(spark, sf_dir):
        FROM rec JOIN lab ON rec.doc_id = lab.doc_id GROUP BY entity_id""",
 )
 def golden_record(spark, sf_dir):
-    """Documents from several sources: same text or same first e-mail address means same entity."""
+    """Documents from several sources: same text or a common e-mail address means same entity."""
     norm = F.trim(F.regexp_replace(F.lower("text"), r"[ \t\n\f\r]+", " "))
     records = table(spark, sf_dir, "documents").select(
-        "doc_id", "source", "lang", "n_chars", F.sha2(norm, 256).alias("digest"), C.first_email("text").alias("email")
-    )
-    rules = {"text": F.col("digest"), "email": F.col("email")}
+        "doc_id", "source", "lang", "n_chars", F.sha2(norm, 256).alias("digest"), C.emails("text").alias("emails")
+    ).withColumn("email", F.get("emails", F.lit(0)))
+    rules = {"text": F.col("digest"), "email": F.col("emails")}
     return entities.golden_record(records, "doc_id", rules, ["n_chars", "doc_id"], ["email", "lang", "source"])
 
 

@@ -159,6 +159,15 @@ def test_udf_twins_agree(spark):
     assert all(r.a == r.b == r.c for r in out.collect())
 
 
+def test_incremental_model_merges_newer_rows(spark, tmp_path):
+    model = Model("m", lambda a: a, ("a",), "incremental", ("k",), "t")
+    data = "k int, t int, v string"
+    first = run_models({"a": spark.createDataFrame([(1, 1, "x"), (2, 2, "y")], data)}, [model], spark, str(tmp_path / "1"))
+    more = spark.createDataFrame([(1, 1, "ignored"), (2, 3, "new"), (3, 2, "tie")], data)
+    second = run_models({"a": more}, [model], spark, str(tmp_path / "2"), first)
+    assert rows(second["m"]) == [(1, 1, "x"), (2, 3, "new"), (3, 2, "tie")]
+
+
 def test_safe_casts(spark):
     df = spark.createDataFrame([("",), ("12.5",), ("abc",), (None,)], "t string")
     assert [r[0] for r in df.select(C.text_to_number("t")).collect()] == [None, 12.5, None, None]
@@ -167,7 +176,7 @@ def test_safe_casts(spark):
 
 
 def test_models_run_in_order_and_stop_on_failure(spark, tmp_path):
-    good = Model("b", lambda a: a.filter("id > 1"), ("a",), "table", (lambda df: quality.dq_unique(df, ["id"]),))
+    good = Model("b", lambda a: a.filter("id > 1"), ("a",), "table", tests=(lambda df: quality.dq_unique(df, ["id"]),))
     models = [Model("c", lambda b: b.limit(1), ("b",)), good]
     assert build_order({m.name: m for m in models}) == ["b", "c"]
     done = run_models({"a": spark.range(5)}, models, spark, str(tmp_path))
