@@ -9,9 +9,11 @@ and a document is done when no later arrival can be the first anywhere.
 Documents that agree in all values of a band share a bucket. Buckets are never
 expanded into all pairs: a first leader of each bucket is compared with the
 members, then the member nearest to it, which in a group of altered copies is
-the text that they are copies of. What is still apart afterwards is compared
-under finer keys, so that no bucket's pairs are given up. Comparisons are exact
-on shingles, and links make connected components.
+the text that they are copies of. Where members of a bucket are still in several
+classes afterwards, signatures are compared block by block, and pairs that
+promise a new link are verified there; a block is small whatever the bucket, and
+gives no more links than it has members. Comparisons are exact on shingles, and
+links make connected components.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,8 +33,10 @@ from millrace.llm.textarrays import CHUNK_CHARS, U, mix, shingles
 #: At a similarity of 0.8 two texts share a band with a probability of 0.997 at 32 x 8 and 0.99998 at 48 x 7.
 BANDS, ROWS = 48, 7
 THRESHOLD = 0.8
-#: Members of a bucket that are compared with each other if they are still apart after two leaders.
-FEW = 32
+#: Members of a block, where a bucket is still in several classes after two leaders.
+BLOCK = 256
+#: Agreement of the signatures from which a pair is compared exactly: five standard deviations below THRESHOLD.
+WORTH = 0.69
 
 
 def weighted(hashes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -77,13 +82,17 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, j in slices(np.fromiter(map(len, texts), np.int64, len(texts)), CHUNK_CHARS):
             part = list(dict.fromkeys(texts[i:j]))  # copies within reach are sketched once
             doc, shingle, weight = weighted(*shingles(part))
-            found = band_values(signatures(doc, shingle, weight, len(part), BANDS * ROWS), BANDS, ROWS).view(np.int64)
+            names = signatures(doc, shingle, weight, len(part), BANDS * ROWS)
+            found, marks = band_values(names, BANDS, ROWS).view(np.int64), (names >> U(56)).astype(np.uint8)
             has = np.bincount(doc, minlength=len(part)) > 0
-            of = {t: found[k].tolist() if has[k] else [] for k, t in enumerate(part)}
+            of = {t: (found[k].tolist() if has[k] else [], marks[k].tobytes()) for k, t in enumerate(part)}
             rows = b.slice(i, j - i)
             yield pa.RecordBatch.from_arrays(
-                [rows.column("id"), rows.column("content"), pa.array([of[t] for t in texts[i:j]], pa.list_(pa.int64()))],
-                names=["id", "content", "bands"],
+                [
+                    rows.column("id"), rows.column("content"),
+                    pa.array([of[t][0] for t in texts[i:j]], pa.list_(pa.int64())), pa.array([of[t][1] for t in texts[i:j]]),
+                ],
+                names=["id", "content", "bands", "marks"],
             )
 
 
@@ -127,6 +136,22 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(got, pa.float64())], names=["a", "b", "sim"])
 
 
+def _links(group: pd.DataFrame) -> pd.DataFrame:
+    """Links between members of different classes in a block. Signatures tell which pairs
+    are worth an exact comparison; classes that a link joins are not compared again."""
+    group = group.drop_duplicates("node")
+    marks = np.frombuffer(b"".join(group["marks"]), np.uint8).reshape(len(group), -1)
+    node, held = group["node"].to_numpy(), [np.frombuffer(h, "<u4") for h in group["held"]]
+    own, found = group["class"].to_numpy().copy(), []
+    for i in range(len(group)):
+        near = (marks[i + 1 :] == marks[i]).mean(1) >= WORTH
+        for k in np.flatnonzero(near & (own[i + 1 :] != own[i])) + i + 1:
+            if own[i] != own[k] and similarity(held[i], held[k]) >= THRESHOLD:
+                found.append((node[i], node[k]))
+                own[own == own[k]] = own[i]
+    return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, label: str) -> DataFrame:
     """``a, b, sim`` of distinct pairs, in the order given."""
     rows = pairs.join(sets.select(F.col("node").alias("b"), F.col("held").alias("y")), "b")
@@ -148,15 +173,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     given = docs.filter(F.col(key).isNotNull()).select(
         F.col(key).cast("long").alias("id"), F.md5(body).alias("content"), body.alias("body")
     )
-    rows = stored(given.mapInArrow(_sketch, "id long, content string, bands array<long>"), "sketches")
+    rows = stored(given.mapInArrow(_sketch, "id long, content string, bands array<long>, marks binary"), "sketches")
     # One node for each distinct text, named by its least key.
-    nodes = stored(rows.groupBy("content").agg(F.min("id").alias("node"), F.any_value("bands").alias("bands")), "nodes")
+    sketch = F.any_value(F.struct("bands", "marks")).alias("s")
+    nodes = stored(rows.groupBy("content").agg(F.min("id").alias("node"), sketch).select("content", "node", "s.*"), "nodes")
     posted = nodes.select("node", F.explode("bands").alias("bucket"))
     buckets = posted.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("other"))
     buckets = stored(buckets.filter(F.col("leader") < F.col("other")).drop("other"), "buckets")
     members = stored(posted.join(buckets, "bucket").distinct(), "members")
     asked = stored(members.select("node").distinct().join(nodes.select("node", "content"), "node"), "asked")
-    texts = given.join(asked.select("node", "content"), (F.col("id") == F.col("node")) & (given["content"] == asked["content"]))
+    # The documents asked for grow with the input, so texts are shuffled at every size.
+    wanted = asked.select("node", "content").hint("merge")
+    texts = given.join(wanted, (F.col("id") == F.col("node")) & (given["content"] == asked["content"]))
     texts = texts.groupBy("node").agg(F.any_value("body").alias("body"))
     sets = stored(texts.mapInArrow(_multisets, "node long, held binary"), "multisets")
 
@@ -178,7 +206,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     edges = first.filter(linked).unionByName(second.filter(linked)).select("a", "b")
     classes = stored(connected_components(edges), "classes")
 
-    # Buckets whose members are still in several classes: members of different ones are compared.
+    # Buckets whose members are still in several classes: members of different ones are compared in blocks.
     apart = members.join(near.select("bucket"), "bucket", "left_semi").join(
         classes.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left"
     )
@@ -186,20 +214,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     mixed = apart.groupBy("bucket").agg(
         F.min("class").alias("low"), F.max("class").alias("high"), F.count(F.lit(1)).alias("n")
     )
-    mixed = stored(mixed.filter("low < high").select("bucket", "n"), "mixed")
-    left = apart.join(mixed, "bucket")
-    # In a large bucket two bands must agree; texts above the threshold share many.
-    own = nodes.select(F.col("node").alias("n"), "bands")
-    finer = left.filter(F.col("n") > FEW).drop("n").join(own, F.col("node") == F.col("n"))
-    finer = finer.select(F.explode("bands").alias("band"), "bucket", "node", "class").filter(F.col("band") != F.col("bucket"))
-    keyed = left.filter(F.col("n") <= FEW).select(F.col("bucket").alias("k"), F.lit(0).cast("long").alias("k2"), "node", "class")
-    keyed = keyed.unionByName(finer.select(F.col("bucket").alias("k"), F.col("band").alias("k2"), "node", "class"))
-    keyed = stored(keyed, "keyed")
-    other = keyed.select("k", "k2", F.col("node").alias("b"), F.col("class").alias("other"))
-    rest = keyed.join(other, ["k", "k2"]).filter((F.col("node") < F.col("b")) & (F.col("class") != F.col("other")))
-    third = _verified(rest.select(F.col("node").alias("a"), "b").distinct(), sets, "pairs").filter(linked)
+    parts = F.ceil(F.col("n") / BLOCK).cast("int")
+    mixed = stored(mixed.filter("low < high").select("bucket", parts.alias("parts")), "mixed")
+    left = apart.join(mixed, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    left = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    left = left.join(nodes.select(F.col("node").alias("n"), "marks"), F.col("node") == F.col("n")).join(sets, "node")
+    block = left.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "class", "marks", "held")
+    third = stored(block.groupBy("bucket", "i", "j").applyInPandas(_links, "a long, b long"), "links")
     if not third.isEmpty():
-        classes = stored(connected_components(edges.unionByName(third.select("a", "b"))), "classes")
+        classes = stored(connected_components(edges.unionByName(third)), "classes")
 
     named = nodes.select("content", "node").join(classes, "node", "left").select(
         "content", F.coalesce("component", "node").alias("class_id")
@@ -214,7 +237,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each class, with all columns; rows with a NULL key stay as they are."""
     kept = near_duplicates(docs, key, text).filter("keep").select(F.col(key).alias("_kept")).distinct()
-    rows = docs.join(stored(kept, "kept"), F.col(key) == F.col("_kept"), "left_semi")
+    rows = docs.join(stored(kept, "kept").hint("merge"), F.col(key) == F.col("_kept"), "left_semi")
     same = Window.partitionBy(key).orderBy(F.xxhash64(F.col(text)))
     rows = rows.withColumn("_n", F.row_number().over(same)).filter(F.col("_n") == 1).drop("_n")
     return rows.unionByName(docs.filter(F.col(key).isNull()))
