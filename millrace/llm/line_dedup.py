@@ -169,7 +169,8 @@ def deduplicated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
     ``removed_lines`` is replaced.
     """
     blocks = stored(repeated_blocks(docs, key, text, min_words), "blocks").withColumnRenamed("row", "_row")
-    rows = docs.drop("removed_lines").join(blocks, _row(key, text) == F.col("_row"), "left")
+    # Always a shuffle of the texts: what is joined grows with them, and the plan is the same at every size.
+    rows = docs.drop("removed_lines").join(blocks.hint("merge"), _row(key, text) == F.col("_row"), "left")
     split = F.split(F.col(text), "\n")
     inside = F.filter(split, lambda s, i: ~F.exists("blocks", lambda b: (i >= b["first"]) & (i <= b["last"])))
     kept = F.when(F.col("blocks").isNull(), F.col(text)).otherwise(F.array_join(inside, "\n"))
