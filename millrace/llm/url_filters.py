@@ -123,7 +123,8 @@ def judge_urls(
         grouped.select("_node", "_alias").join(marks, "_alias").filter(F.col("_node").isNotNull()), "judged"
     )
     by_alias = F.when(F.col("_block") & ~F.coalesce("_allow", F.lit(False)), "block").otherwise("allow")
-    return nodes.join(judged, "_node", "left").select(
+    # One row a URL: it grows with the input, so it is never broadcast.
+    return nodes.join(judged.hint("merge"), "_node", "left").select(
         key,
         "host",
         "path",
