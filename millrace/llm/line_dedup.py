@@ -6,8 +6,10 @@ gives one pair per document and never all pairs. Only runs of repeated lines
 that are long enough to be deleted ask for a pair. The two documents of a pair
 are aligned by patience diff: lines that occur once in both are matched along
 their longest increasing subsequence, then the gaps between them in the same
-way. Aligned blocks of enough words are deleted from the later document; the
-first document that holds a line always keeps it.
+way. Windows of enough words that the alignment leaves, because their lines repeat
+or passages changed places, are looked up in the earlier document by hash. Blocks
+of enough words are deleted from the later document; the first document that
+holds a line always keeps it.
 """
 
 from __future__ import annotations
@@ -16,13 +18,18 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import on_workers, stored
+from millrace.llm.textarrays import U, mix
 
 MIN_WORDS = 40
+#: Base of the rolling hashes of windows; 3 modulo 8, so that powers of it differ from each other in low bits.
+BASE = U(0x9E3779B97F4A7C13)
+INVERSE = U(pow(int(BASE), -1, 1 << 64))
 
 
 def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -70,17 +77,53 @@ def patience(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
     return sorted(matched)
 
 
+def windows(
+    hashes: np.ndarray, words: np.ndarray, starts: np.ndarray, least: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``document, first line, end, hash`` of the windows of lines that have ``least`` words or
+    more, but fewer without their last line or without their first line.
+
+    Document d is lines ``starts[d]`` to ``starts[d + 1]``. Each line of a passage of ``least``
+    words is in a window that is inside the passage, and all who hold the passage have that window.
+    """
+    n = len(hashes)
+    upto = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
+    doc = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    least = max(least, 1)
+    at = np.arange(n)
+    end = np.searchsorted(upto, upto[:-1] + least, "left")
+    ahead = end <= starts[doc + 1]
+    begin = np.searchsorted(upto, upto[1:] - least, "right") - 1
+    back = begin >= starts[doc]
+    both = np.unique(np.concatenate([at[ahead] * (n + 1) + end[ahead], begin[back] * (n + 1) + at[back] + 1]))
+    first, end = both // (n + 1), both % (n + 1)
+    power, inverse = (np.cumprod(np.concatenate([np.ones(1, U), np.full(n, x)])) for x in (BASE, INVERSE))
+    sums = np.concatenate([np.zeros(1, U), np.cumsum(mix(hashes.astype(np.int64).view(U) + BASE) * power[:n])])
+    return doc[first], first, end, mix((sums[end] - sums[first]) * inverse[first] + (end - first).astype(U))
+
+
 def aligned_blocks(a: Sequence[int], b: Sequence[int], words: Sequence[int], least: int) -> list[tuple[int, int]]:
-    """Line ranges of ``b`` (last line included) that align with lines in a row of ``a`` and
-    have ``least`` words or more."""
-    out, run = [], []
+    """Line ranges of ``b`` (last line included) that are lines in a row of ``a`` too and have
+    ``least`` words or more: the aligned ones, and what the alignment leaves because lines
+    repeat or passages changed places."""
+    inside, run = np.zeros(len(b), bool), []
     for pair in [*patience(a, b), (-2, -2)]:
         if run and pair != (run[-1][0] + 1, run[-1][1] + 1):
             if sum(words[j] for _, j in run) >= least:
-                out.append((run[0][1], run[-1][1]))
+                inside[run[0][1] : run[-1][1] + 1] = True
             run = []
         run.append(pair)
-    return out
+    if not inside.all():
+        count = np.asarray(words)
+        _, first, end, name = windows(np.asarray(b), count, np.array([0, len(b)]), least)
+        # Lines have equal words wherever they are, so those of a are known as far as b has the line.
+        of = dict(zip(b, words))
+        known = np.array([of.get(x, least) for x in a], np.int64)
+        held = windows(np.asarray(a), known, np.array([0, len(a)]), least)[3]
+        for i, j in zip(*(x[np.isin(name, held)] for x in (first, end))):
+            inside[i:j] = True
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], inside, [0]])))
+    return [(int(i), int(j) - 1) for i, j in edges.reshape(-1, 2)]
 
 
 def _asked(least: int):

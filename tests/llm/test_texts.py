@@ -39,6 +39,47 @@ def test_patience_matches_in_order():
     assert aligned_blocks([9, 1, 2, 8], [1, 2, 7, 8], [30, 30, 5, 5], 40) == [(0, 1)]
 
 
+def covered(a, b, words, least):
+    """Places of ``b`` in a run of lines of ``least`` words that ``a`` holds too, by trying all runs."""
+    held = {tuple(a[i:k]) for i in range(len(a)) for k in range(i + 1, len(a) + 1)}
+    return {
+        x
+        for i in range(len(b))
+        for k in range(i + 1, len(b) + 1)
+        if sum(words[i:k]) >= least and tuple(b[i:k]) in held
+        for x in range(i, k)
+    }
+
+
+def test_blocks_of_passages_held_twice_or_swapped():
+    x, y, z, u, v, p, q = [1], [2], [3], [4], [5], [6, 7], [8, 9]
+    for a, b, want in (
+        (x + p + y + p + z, u + p + v, [(1, 2)]),
+        (x + p + y, p + u + p + v, [(0, 1), (3, 4)]),
+        (x + p + y + q, q + u + p + v, [(0, 1), (3, 4)]),
+    ):
+        assert aligned_blocks(a, b, [25] * len(b), 40) == want
+    rng = random.Random(6)
+    for _ in range(400):
+        a, b = ([rng.randrange(5) for _ in range(rng.randrange(14))] for _ in "ab")
+        words = [[3, 12, 39, 20, 45][line] for line in b]
+        got = [x for i, j in aligned_blocks(a, b, words, 40) for x in range(i, j + 1)]
+        assert got == sorted(covered(a, b, words, 40))
+
+
+def test_line_dedup_finds_a_passage_that_its_first_holder_has_twice(spark):
+    rng = random.Random(7)
+    p, q = ([" ".join(text(rng, 25)) for _ in range(2)] for _ in "pq")
+    own = [" ".join(text(rng, 30)) for _ in range(9)]
+    rows = [
+        (1, [own[0], *p, own[1], *p, own[2], *q]),
+        (2, [own[3], *p, own[4]]),
+        (3, [*q, own[5], *p, own[6], *p]),
+    ]
+    got = {r.doc_id: r.text for r in deduplicated_lines(docs_of(spark, [(k, "\n".join(t)) for k, t in rows])).collect()}
+    assert got == {1: "\n".join(rows[0][1]), 2: "\n".join([own[3], own[4]]), 3: "\n".join([own[5], own[6]])}
+
+
 def test_line_dedup_keeps_the_first_and_short_repeats(spark):
     rng = random.Random(1)
     passage = [" ".join(text(rng, 20)) for _ in range(3)]
