@@ -1,9 +1,10 @@
 """Passages that repeat across documents, deleted by pairwise alignment of lines.
 
-Documents are read as lists of line hashes. A hash is anchored at the first
-document (least key) that holds it, so a line that a million documents share
-gives one pair per document and never all pairs. Only runs of repeated lines
-that are long enough to be deleted ask for a pair. The two documents of a pair
+Documents are read as lists of line hashes. At each line begins and ends a least
+window of lines that has enough words to be deleted. A window is anchored at the
+first document (least key) that holds it, so a passage that a million documents
+share gives one pair per document and never all pairs, and whoever holds a
+passage is paired with an earlier holder of each window of it. The two documents of a pair
 are aligned by patience diff: lines that occur once in both are matched along
 their longest increasing subsequence, then the gaps between them in the same
 way. Windows of enough words that the alignment leaves, because their lines repeat
@@ -126,27 +127,20 @@ def aligned_blocks(a: Sequence[int], b: Sequence[int], words: Sequence[int], lea
     return [(int(i), int(j) - 1) for i, j in edges.reshape(-1, 2)]
 
 
-def _asked(least: int):
-    """From the repeated lines of each document: the first holders of its long runs."""
-
+def _windows(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows, ids = [], []
-            for row, own, held in zip(b.column("row").to_pylist(), b.column("id").to_pylist(), b.column("held").to_pylist()):
-                held.sort(key=lambda x: x["place"])
-                part: list[dict] = []
-                found: set[int] = set()
-                for x in [*held, {"place": -1}]:
-                    if part and x["place"] != part[-1]["place"] + 1:
-                        if sum(p["words"] for p in part) >= least:
-                            found |= {p["first"] for p in part}
-                        part = []
-                    part.append(x)
-                for f in sorted(found):
-                    if f < own:
-                        rows.append(row)
-                        ids.append(f)
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(ids, pa.int64())], names=["row", "earlier"])
+            hashes, words = (b.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("hashes", "words"))
+            starts = np.concatenate([[0], np.cumsum(list(map(len, b.column("hashes"))), dtype=np.int64)])
+            doc, _, _, name = windows(hashes, words, starts, least)
+            order = np.lexsort((name, doc))
+            doc, name = doc[order], name[order]
+            new = np.ones(len(doc), bool)
+            new[1:] = (doc[1:] != doc[:-1]) | (name[1:] != name[:-1])
+            at = pa.array(doc[new])
+            yield pa.RecordBatch.from_arrays(
+                [b.column("row").take(at), b.column("id").take(at), pa.array(name[new].view(np.int64))], names=["row", "id", "window"]
+            )
 
     return run
 
@@ -182,14 +176,10 @@ def repeated_blocks(docs: DataFrame, key: str, text: str, min_words: int) -> Dat
         F.transform("t", lambda s: F.when(s == "", 0).otherwise(F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit(""))) + 1)).alias("words"),
     )
     lines = stored(lines, "lines")
-    each = lines.select("row", "id", F.posexplode(F.arrays_zip("hashes", "words")).alias("place", "x")).select(
-        "row", "id", "place", F.col("x.hashes").alias("hash"), F.col("x.words").alias("words")
-    )
-    each = each.filter(F.col("words") > 0)
-    first = each.groupBy("hash").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last")
-    first = stored(first.select("hash", "first"), "first")
-    held = each.join(first, "hash").groupBy("row", "id").agg(F.collect_list(F.struct("place", "words", "first")).alias("held"))
-    asked = held.mapInArrow(_asked(min_words), "row long, earlier long").distinct()
+    each = lines.select("row", "id", "hashes", "words").mapInArrow(_windows(min_words), "row long, id long, window long")
+    first = each.groupBy("window").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last")
+    first = stored(first.select("window", F.col("first").alias("earlier")), "first")
+    asked = each.join(first, "window").filter(F.col("earlier") < F.col("id")).select("row", "earlier").distinct()
     later = stored(asked, "asked").join(
         lines.select("row", F.col("hashes").alias("b"), "words").dropDuplicates(["row"]), "row"
     )

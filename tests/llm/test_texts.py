@@ -80,6 +80,22 @@ def test_line_dedup_finds_a_passage_that_its_first_holder_has_twice(spark):
     assert got == {1: "\n".join(rows[0][1]), 2: "\n".join([own[3], own[4]]), 3: "\n".join([own[5], own[6]])}
 
 
+def test_line_dedup_equals_brute_force(spark):
+    """Of a passage, single lines occur in earlier documents than the first that holds it whole."""
+    rng = random.Random(8)
+    a, b = (" ".join(text(rng, 25)) for _ in "ab")
+    own = [" ".join(text(rng, 30)) for _ in range(9)]
+    rows = [(1, [a, own[0]]), (2, [own[1], b]), (5, [own[2], a, b, own[3]]), (9, [own[4], a, b])]
+    line = [" ".join(text(rng, n)) for n in (3, 9, 20, 24, 39, 41)]
+    rows += [(20 + k, [rng.choice(line) for _ in range(rng.randrange(1, 12))]) for k in range(60)]
+    got = {r.doc_id: r.text for r in deduplicated_lines(docs_of(spark, [(k, "\n".join(t)) for k, t in rows])).collect()}
+    assert got[9] == own[4]
+    for k, mine in rows:
+        count = [len(x.split()) for x in mine]
+        gone = {j for other, lines in rows if other < k for j in covered(lines, mine, count, 40)}
+        assert got[k] == "\n".join(x for j, x in enumerate(mine) if j not in gone)
+
+
 def test_line_dedup_keeps_the_first_and_short_repeats(spark):
     rng = random.Random(1)
     passage = [" ".join(text(rng, 20)) for _ in range(3)]
