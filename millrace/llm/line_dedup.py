@@ -131,8 +131,10 @@ def _windows(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             hashes, words = (b.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("hashes", "words"))
-            starts = np.concatenate([[0], np.cumsum(list(map(len, b.column("hashes"))), dtype=np.int64)])
-            doc, _, _, name = windows(hashes, words, starts, least)
+            full = words > 0
+            upto = np.concatenate([[0], np.cumsum(full)])
+            starts = upto[np.concatenate([[0], np.cumsum(list(map(len, b.column("hashes"))), dtype=np.int64)])]
+            doc, _, _, name = windows(hashes[full], words[full], starts, least)
             order = np.lexsort((name, doc))
             doc, name = doc[order], name[order]
             new = np.ones(len(doc), bool)
@@ -145,11 +147,20 @@ def _windows(least: int):
     return run
 
 
+def _through_blanks(a: list[int], b: list[int], words: list[int], least: int) -> list[tuple[int, int]]:
+    """``aligned_blocks`` of the lines that are not blank, as places among all lines of ``b``. The blank
+    lines after a block go with it, and those at the beginning of ``b`` with a block that follows them."""
+    places = [k for k, n in enumerate(words) if n]
+    found = aligned_blocks(a, [b[k] for k in places], [words[k] for k in places], least)
+    after = [*places[1:], len(b)]
+    return [(places[i] if i else 0, after[j] - 1) for i, j in found]
+
+
 def _align(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = [
-                [{"first": s, "last": e} for s, e in aligned_blocks(x, y, w, least)]
+                [{"first": s, "last": e} for s, e in _through_blanks(x, y, w, least)]
                 for x, y, w in zip(*(b.column(c).to_pylist() for c in ("a", "b", "words")))
             ]
             kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
@@ -183,7 +194,8 @@ def repeated_blocks(docs: DataFrame, key: str, text: str, min_words: int) -> Dat
     later = stored(asked, "asked").join(
         lines.select("row", F.col("hashes").alias("b"), "words").dropDuplicates(["row"]), "row"
     )
-    pairs = later.join(lines.select(F.col("id").alias("earlier"), F.col("hashes").alias("a")), "earlier")
+    full = F.filter("hashes", lambda h: h != F.xxhash64(F.lit("")))
+    pairs = later.join(lines.select(F.col("id").alias("earlier"), full.alias("a")), "earlier")
     found = pairs.select("row", "a", "b", "words").mapInArrow(
         _align(min_words), "row long, blocks array<struct<first:int,last:int>>"
     )
@@ -195,7 +207,8 @@ def deduplicated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """All rows and columns of ``docs``, with ``text`` less its repeated blocks, and
     ``removed_lines``, the number of lines deleted.
 
-    Lines are compared without white space at their ends. A document is earlier
+    Lines are compared without white space at their ends, and blank lines do not part
+    or distinguish passages; those after a deleted block go with it. A document is earlier
     than another if its key is smaller; rows with equal keys are not compared with
     each other. Rows with a NULL key or text stay as they are, and texts that
     repeat an earlier document whole become empty. An existing column

@@ -96,6 +96,25 @@ def test_line_dedup_equals_brute_force(spark):
         assert got[k] == "\n".join(x for j, x in enumerate(mine) if j not in gone)
 
 
+def test_line_dedup_passes_blank_lines(spark):
+    rng = random.Random(9)
+    p, q, r, s = (" ".join(text(rng, n)) for n in (30, 30, 15, 15))
+    own = [" ".join(text(rng, 30)) for _ in range(9)]
+    rows = {
+        1: f"{own[0]}\n\n{p}\n\n{q}\n\n{own[1]}",
+        2: f"{own[2]}\n\n{p}\n\n{q}\n\n{own[3]}",
+        3: f"{own[4]}\n{p}\n \n\n{q}\n{own[5]}",
+        4: f"{r}\n\n{s}\n\n{p}",
+        5: f"\n\n{r}\n\n{s}\n\n{p}\n\n",
+        6: f"{r}\n\n{s}\n\n{own[6]}\n\n",
+        7: "\n\n\n",
+        8: "\n\n\n",
+    }
+    got = {r.doc_id: (r.text, r.removed_lines) for r in deduplicated_lines(docs_of(spark, rows.items())).collect()}
+    changed = {2: (f"{own[2]}\n\n{own[3]}", 4), 3: (f"{own[4]}\n{own[5]}", 4), 5: ("", 9)}
+    assert got == {k: changed.get(k, (t, 0)) for k, t in rows.items()}
+
+
 def test_line_dedup_keeps_the_first_and_short_repeats(spark):
     rng = random.Random(1)
     passage = [" ".join(text(rng, 20)) for _ in range(3)]
