@@ -4,7 +4,9 @@ A document is the multiset of its five-word shingles. The signature has the
 collision probability of the probability Jaccard similarity of the weighted
 shingles: each shingle is a Poisson process whose rate is its weight, every
 arrival picks a register, a register keeps the shingle of its first arrival,
-and a document is done when no later arrival can be the first anywhere.
+and a document is done when no later arrival can be the first anywhere. A document
+that repeats shingles has a second signature with all weights 1, whose collision
+probability is the Jaccard similarity of the sets; both kinds of bands share buckets.
 
 Documents that agree in all values of a band share a bucket. Buckets are never
 expanded into all pairs: a first leader of each bucket is compared with the
@@ -86,6 +88,15 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found, marks = band_values(names, BANDS, ROWS).view(np.int64), (names >> U(56)).astype(np.uint8)
             has = np.bincount(doc, minlength=len(part)) > 0
             of = {t: (found[k].tolist() if has[k] else [], marks[k].tobytes()) for k, t in enumerate(part)}
+            repeats = np.unique(doc[weight > 1])
+            if len(repeats):
+                those = np.isin(doc, repeats)
+                own = np.searchsorted(repeats, doc[those])
+                names = signatures(own, shingle[those], np.ones(len(own)), len(repeats), BANDS * ROWS)
+                found, marks = band_values(names, BANDS, ROWS).view(np.int64), (names >> U(56)).astype(np.uint8)
+                for k, more, mark in zip(repeats, found.tolist(), marks):
+                    bands, first = of[part[k]]
+                    of[part[k]] = (list(dict.fromkeys(bands + more)), first + mark.tobytes())
             rows = b.slice(i, j - i)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -140,11 +151,13 @@ def _links(group: pd.DataFrame) -> pd.DataFrame:
     """Links between members of different classes in a block. Signatures tell which pairs
     are worth an exact comparison; classes that a link joins are not compared again."""
     group = group.drop_duplicates("node")
-    marks = np.frombuffer(b"".join(group["marks"]), np.uint8).reshape(len(group), -1)
+    # Of a text without repeats the one signature stands for both, weighted and plain.
+    size = BANDS * ROWS
+    marks = np.frombuffer(b"".join(m if len(m) > size else m * 2 for m in group["marks"]), np.uint8).reshape(-1, 2, size)
     node, held = group["node"].to_numpy(), [np.frombuffer(h, "<u4") for h in group["held"]]
     own, found = group["class"].to_numpy().copy(), []
     for i in range(len(group)):
-        near = (marks[i + 1 :] == marks[i]).mean(1) >= WORTH
+        near = (marks[i + 1 :] == marks[i]).mean(2).max(1) >= WORTH
         for k in np.flatnonzero(near & (own[i + 1 :] != own[i])) + i + 1:
             if own[i] != own[k] and similarity(held[i], held[k]) >= THRESHOLD:
                 found.append((node[i], node[k]))

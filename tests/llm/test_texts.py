@@ -213,6 +213,30 @@ def test_near_duplicates_split_a_large_bucket(spark, monkeypatch):
     assert got == near_classes(texts)
 
 
+def test_near_duplicates_with_unequal_repeats(spark, monkeypatch):
+    """Pairs whose sets of shingles are nearly equal, while their counts are not."""
+    monkeypatch.setattr(nd, "BLOCK", 8)
+    rng = random.Random(5)
+    texts = {}
+    for _ in range(25):
+        x, p = text(rng, 100), text(rng, 50)
+        texts[len(texts)] = " ".join(x + p)
+        texts[len(texts)] = " ".join(x + p * 10)
+    got = {r.doc_id: r.class_id for r in nd.near_duplicates(docs_of(spark, texts.items())).collect()}
+    assert got == near_classes(texts)
+
+
+def test_blocks_compare_either_signature():
+    rng = random.Random(6)
+    x, p = text(rng, 100), text(rng, 50)
+    body = [" ".join(x + p), " ".join(x + p * 10)]
+    batch = nd.pa.RecordBatch.from_pydict({"id": [1, 2], "content": ["x", "y"], "body": body})
+    marks = next(nd._sketch(iter([batch]))).column("marks").to_pylist()
+    held = next(nd._multisets(iter([nd.pa.RecordBatch.from_pydict({"node": [1, 2], "body": body})]))).column("held").to_pylist()
+    group = nd.pd.DataFrame({"node": [1, 2], "class": [1, 2], "marks": marks, "held": held})
+    assert nd._links(group).values.tolist() == [[1, 2]]
+
+
 def test_one_of_each_class_stays(spark):
     rows = [(3, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f"), (2, "other words are in this one"), (None, "a b c d e f")]
     kept = nd.deduplicated(docs_of(spark, rows))
