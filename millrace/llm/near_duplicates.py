@@ -225,10 +225,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
     apart = stored(apart.select("bucket", "node", F.coalesce("component", "node").alias("class")), "apart")
     mixed = apart.groupBy("bucket").agg(
-        F.min("class").alias("low"), F.max("class").alias("high"), F.count(F.lit(1)).alias("n")
+        F.min("class").alias("low"), F.max("class").alias("high"), F.count(F.lit(1)).alias("n"),
+        F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
     )
-    parts = F.ceil(F.col("n") / BLOCK).cast("int")
-    mixed = stored(mixed.filter("low < high").select("bucket", parts.alias("parts")), "mixed")
+    # Of buckets with the same members one is compared.
+    mixed = mixed.filter("low < high").groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket"))
+    mixed = stored(mixed.select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts")), "mixed")
     left = apart.join(mixed, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     left = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     left = left.join(nodes.select(F.col("node").alias("n"), "marks"), F.col("node") == F.col("n")).join(sets, "node")
