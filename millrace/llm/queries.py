@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import language_id, line_quality
+from millrace.llm.collocations import collocations
 from millrace.llm.common import held_out, table
 from millrace.llm.decontamination import leaks
+from millrace.llm.importance_resampling import resampled
 from millrace.llm.license_scan import scan_licenses
 from millrace.llm.line_dedup import deduplicated_lines
 from millrace.llm.near_duplicates import near_duplicates
@@ -153,3 +155,93 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_license_scan")
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+#: The checksum is worked out byte by byte from its table, which the first two steps derive.
+RESAMPLING_SQL = r"""
+WITH RECURSIVE steps(i, k, c) AS (
+  SELECT i, 0, i FROM range(256) r(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM steps WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS step FROM steps WHERE k = 8),
+texts AS (
+  SELECT 0 AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
+words AS (
+  SELECT kind, id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM texts),
+runs AS (
+  SELECT kind, id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: array_to_string(w[i:i + 1], ' ')),
+    list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')))) AS feature FROM words),
+counted AS (SELECT kind, id, feature, count(*) AS n FROM runs GROUP BY ALL),
+bytes AS (
+  SELECT feature, hex(encode(feature)) AS h, list_transform(range(0, octet_length(encode(feature))), lambda i:
+    16 * (ord(h[2 * i + 1]) - CASE WHEN h[2 * i + 1] <= '9' THEN 48 ELSE 55 END)
+    + ord(h[2 * i + 2]) - CASE WHEN h[2 * i + 2] <= '9' THEN 48 ELSE 55 END) AS b
+  FROM (SELECT DISTINCT feature FROM counted)),
+hashed AS (
+  SELECT feature, xor(list_reduce(list_prepend(4294967295, list_transform(b, lambda x: CAST(x AS BIGINT))),
+    lambda c, x: xor(c >> 8, step[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket FROM bytes, crc),
+placed AS (SELECT kind, id, bucket, n FROM counted JOIN hashed USING (feature)),
+sides AS (
+  SELECT bucket, sum(n) FILTER (kind = 0) AS s, sum(n) FILTER (kind = 1) AS t FROM placed GROUP BY bucket),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST(coalesce(t, 0) + 1 AS DOUBLE)
+    * CAST((SELECT sum(coalesce(s, 0)) FROM sides) + 10000 AS DOUBLE)
+    / (CAST(coalesce(s, 0) + 1 AS DOUBLE) * CAST((SELECT sum(coalesce(t, 0)) FROM sides) + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+  FROM sides),
+weights AS (
+  SELECT id AS doc_id, CAST(sum(n) AS BIGINT) AS n_features, CAST(sum(n * gain) AS BIGINT) AS weight
+  FROM placed JOIN gains USING (bucket) WHERE kind = 0 GROUP BY id),
+scored AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('42:' || doc_id), 1, 8) AS BIGINT) + 0.5)
+      / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS score
+  FROM (SELECT id AS doc_id, w FROM words WHERE kind = 0) LEFT JOIN weights USING (doc_id)),
+ordered AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scored WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 5 * n // 100 THEN place END AS rank
+FROM scored LEFT JOIN ordered USING (doc_id)
+"""
+
+
+@query("op11_importance_resampling", RESAMPLING_SQL)
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+COLLOCATION_SQL = r"""
+WITH lowered AS (
+  SELECT coalesce(lang, 'und') AS lang, doc_id, regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces
+  FROM documents),
+pieces AS (SELECT lang, unnest(pieces) AS piece FROM lowered),
+words AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+runs AS (
+  SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+  FROM words, (VALUES (1), (2), (3)) s(size)),
+freq AS (SELECT lang, size, phrase, count(*) AS a FROM runs GROUP BY ALL),
+candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM freq WHERE size > 1 AND a >= 10),
+cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(w[:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates)),
+scores AS (
+  SELECT c.lang, c.phrase, c.a, k, l.a AS l, r.a AS r,
+    CAST((1000000::HUGEINT * c.a * c.a) // (l.a::HUGEINT * r.a) AS BIGINT) AS score
+  FROM cuts c JOIN freq l ON l.lang = c.lang AND l.phrase = head JOIN freq r ON r.lang = c.lang AND r.phrase = tail),
+worst AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_parts AS (
+  SELECT lang, a, array_to_string(w[1:2], ' ') AS phrase FROM candidates WHERE size = 3
+  UNION ALL SELECT lang, a, array_to_string(w[2:3], ' ') FROM candidates WHERE size = 3),
+kept AS (
+  SELECT * FROM worst x WHERE NOT EXISTS (
+    SELECT 1 FROM inner_parts i WHERE i.lang = x.lang AND i.phrase = x.phrase AND 100 * i.a >= 50 * x.a))
+SELECT lang, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS BIGINT) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
+
+@query("op12_collocations", COLLOCATION_SQL)
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
