@@ -17,6 +17,7 @@ from millrace.llm.line_dedup import deduplicated_lines
 from millrace.llm.near_duplicates import near_duplicates
 from millrace.llm.packing import pack
 from millrace.llm.permutation_index import nearest_neighbours
+from millrace.llm.repeated_bytes import without_repeats
 from millrace.llm.token_counts import count_tokens
 from millrace.llm.url_filters import Rule, judge_urls
 from millrace.session import scratch_path
@@ -245,3 +246,31 @@ FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
 @query("op12_collocations", COLLOCATION_SQL)
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
+
+
+#: Bytes as two hexadecimal digits each; the least place of each window, then gaps and islands.
+REPEATS_SQL = r"""
+WITH bytes AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (
+  SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS w FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS i FROM bytes)),
+firsts AS (SELECT w, min(doc_id * 4294967296 + i) AS place FROM windows GROUP BY w),
+late AS (SELECT doc_id, i FROM windows JOIN firsts USING (w) WHERE doc_id * 4294967296 + i > place),
+marked AS (
+  SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100, true) AS fresh FROM late),
+numbered AS (SELECT doc_id, i, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked),
+runs AS (SELECT doc_id, min(i) AS lo, max(i) + 100 AS hi FROM numbered GROUP BY doc_id, run),
+gaps AS (
+  SELECT doc_id, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS a, lo AS b FROM runs
+  UNION ALL SELECT doc_id, max(hi), CAST(9223372036854775807 AS BIGINT) FROM runs GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * (least(b, len(h) // 2) - a)), '' ORDER BY a) AS h FROM gaps JOIN bytes USING (doc_id) GROUP BY doc_id),
+sums AS (SELECT doc_id, sum(hi - lo) AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id)
+SELECT doc_id, CAST(len(b.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(k.h, b.h))) AS kept_sha256
+FROM bytes b LEFT JOIN kept k USING (doc_id) LEFT JOIN sums USING (doc_id)
+"""
+
+
+@query("op13_suffix_array_dedup", REPEATS_SQL)
+def op13_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents")).drop("kept")
