@@ -252,10 +252,10 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 REPEATS_SQL = r"""
 WITH bytes AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
 blocks AS (
-  SELECT doc_id, at, substr(h, 2 * at + 1, 1198) AS part FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99, 500)) AS at FROM bytes)),
+  SELECT doc_id, base, substr(h, 2 * base + 1, 1198) AS part FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99, 500)) AS base FROM bytes)),
 windows AS (
-  SELECT doc_id, at + i AS i, md5_number(substr(part, 2 * i + 1, 200)) AS w
-  FROM (SELECT doc_id, at, part, unnest(range(0, len(part) // 2 - 99)) AS i FROM blocks)),
+  SELECT doc_id, base + i AS i, md5_number(substr(part, 2 * i + 1, 200)) AS w
+  FROM (SELECT doc_id, base, part, unnest(range(0, len(part) // 2 - 99)) AS i FROM blocks)),
 firsts AS (SELECT w, min(doc_id * 4294967296 + i) AS place FROM windows GROUP BY w),
 late AS (SELECT doc_id, i FROM windows JOIN firsts USING (w) WHERE doc_id * 4294967296 + i > place),
 marked AS (
