@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from millrace.functions.collections import explode_rows
 from millrace.session import checkpoint_root
 
+MAX_ROUNDS = 100
+
 
 def match_entities(records: DataFrame, record_id: str, rules: Mapping[str, Column]) -> DataFrame:
     """``(record_id, entity_id)``: records that share a rule's key are one entity, transitively.
@@ -21,20 +23,26 @@ def match_entities(records: DataFrame, record_id: str, rules: Mapping[str, Colum
     id spreads along the edges until nothing changes; each round also jumps to
     the label's own label, which keeps the number of rounds logarithmic.
     """
-    checkpoint_root(records.sparkSession)
     kinds = records.select(*[k.alias(n) for n, k in rules.items()]).schema
     several = {n: k if isinstance(kinds[n].dataType, T.ArrayType) else F.array(k) for n, k in rules.items()}
     keyed = [
         F.transform(F.array_compact(F.coalesce(k, F.array())), lambda v, n=n: F.concat(F.lit(f"{n}:"), v.cast("string")))
         for n, k in several.items()
     ]
-    edges = explode_rows(records, F.concat(*keyed), "_node", F.col(record_id).alias("_id")).distinct()
+    edges = explode_rows(records, F.concat(*keyed), "_node", F.col(record_id).alias("_id"))
+    return connected_records(records, record_id, edges)
+
+
+def connected_records(records: DataFrame, record_id: str, edges: DataFrame) -> DataFrame:
+    """``(record_id, entity_id)`` of records that edges from ``_id`` (a record) to ``_node`` (any key) connect."""
+    checkpoint_root(records.sparkSession)
+    edges = edges.distinct()
     shared = edges.groupBy("_node").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_low")).filter("_n > 1")
     edges = edges.join(shared.select("_node", "_low"), "_node").checkpoint()
 
     labels = edges.groupBy("_id").agg(F.min("_low").alias("_label")).checkpoint()
     links = edges.select("_id", "_node")
-    while True:
+    for _ in range(MAX_ROUNDS):
         lowest = links.join(labels, "_id").groupBy("_node").agg(F.min("_label").alias("_m"))
         pulled = links.join(lowest, "_node").groupBy("_id").agg(F.min("_m").alias("_m"))
         lower = labels.join(pulled, "_id").select("_id", "_label", F.least("_label", "_m").alias("_next"))
@@ -48,6 +56,8 @@ def match_entities(records: DataFrame, record_id: str, rules: Mapping[str, Colum
         labels = moved.select("_id", F.col("_next").alias("_label"))
         if changed == 0:
             break
+    else:
+        raise RuntimeError(f"entities did not settle in {MAX_ROUNDS} rounds")
     found = labels.select(F.col("_id").alias(record_id), F.col("_label").alias("entity_id"))
     return (
         records.select(record_id)

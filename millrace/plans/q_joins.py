@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import money_total
-from millrace.operators import aggregates, joins, scd
+from millrace.operators import aggregates, joins, maintained, scd
 from millrace.plans import roles
 from millrace.plans.q_rows import clean
 from millrace.plans.registry import query, table
@@ -302,20 +301,35 @@ def most_common(spark, sf_dir):
     return aggregates.most_common(table(spark, sf_dir, "lineitem"), "l_partkey", 5)
 
 
+#: The orders after three changes: some came last, some were taken back, some got another price.
+CHANGED_ORDERS = """now AS (SELECT CASE WHEN o_custkey % 19 <> 0 THEN o_custkey END AS o_custkey,
+  CASE WHEN o_orderkey % 33 <> 0 THEN CASE WHEN o_orderkey % 41 = 0 THEN o_totalprice + 1000 ELSE o_totalprice END END AS price
+  FROM orders WHERE o_orderkey % 7 <> 0)"""
+
+
 @query(
     "incremental_aggregate",
-    """SELECT CASE WHEN o_custkey % 19 <> 0 THEN o_custkey END AS o_custkey, count(*) AS n,
-       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM orders GROUP BY 1""",
+    f"""WITH {CHANGED_ORDERS}, ends AS (
+          SELECT o_custkey, count(*) AS n, count(price) AS n_values, CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS total,
+                 min(price) AS lowest, max(price) AS highest FROM now GROUP BY o_custkey)
+        SELECT ends.*, (SELECT count(*) FROM now x WHERE x.o_custkey IS NOT DISTINCT FROM ends.o_custkey AND x.price = lowest) AS n_lowest
+        FROM ends""",
 )
 def incremental_aggregate(spark, sf_dir):
-    """The maintained table after the last months arrived equals a full rebuild."""
+    """A state of the older orders, then new orders, then deletions and updates; each change reads the state and itself."""
     known = F.when(F.col("o_custkey") % 19 != 0, F.col("o_custkey"))
-    orders = table(spark, sf_dir, "orders").withColumn("o_custkey", known)
-    measures = {"n": F.count(F.lit(1)), "total": money_total("o_totalprice")}
-    cutoff = F.lit("2001-06-01").cast("timestamp_ntz")
-    current = orders.filter(F.col("o_orderdate") < cutoff).groupBy("o_custkey").agg(*[c.alias(n) for n, c in measures.items()])
-    changed = orders.filter(F.col("o_orderdate") >= cutoff)
-    return aggregates.refresh_aggregate(current, orders, changed, ["o_custkey"], measures)
+    price = F.when(F.col("o_orderkey") % 33 != 0, F.col("o_totalprice"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", known.alias("o_custkey"), price.alias("price"))
+    cutoff = F.lit("2001-01-01").cast("timestamp_ntz")
+    state = maintained.build_state(orders.filter(F.col("o_orderdate") < cutoff), ["o_custkey"], "price")
+    came = maintained.signed(orders.filter(F.col("o_orderdate") >= cutoff))
+    state = maintained.apply_delta(state, came, orders, ["o_custkey"], "price")
+    gone, dearer = F.col("o_orderkey") % 7 == 0, (F.col("o_orderkey") % 41 == 0) & (F.col("o_orderkey") % 7 != 0)
+    raised = orders.filter(dearer).withColumn("price", F.col("price") + 1000)
+    after = orders.filter(~gone & ~dearer).unionByName(raised)
+    change = maintained.signed(raised, orders.filter(gone | dearer))
+    state = maintained.apply_delta(state, change, after, ["o_custkey"], "price")
+    return state.select("o_custkey", "n", "n_values", F.col("total").cast("double").alias("total"), "lowest", "highest", "n_lowest")
 
 
 @query(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions import columns as C
-from millrace.operators import cleansing, dimensions, entities
+from millrace.operators import cleansing, dimensions, entities, similarity
 from millrace.plans import roles
 from millrace.plans.registry import query, table
 from millrace.session import scratch_path
@@ -276,6 +276,49 @@ def golden_record(spark, sf_dir):
     return entities.golden_record(records, "doc_id", rules, ["n_chars", "doc_id"], ["email", "lang", "source"])
 
 
+NAMES = """letters AS (
+    SELECT 10 * c_custkey + 1 AS id, c_custkey AS k, translate(md5(CAST(c_custkey AS VARCHAR)), '0123456789abcdef', 'abcdefghiklmnopr') AS w,
+           c_nationkey AS nation, c_mktsegment AS segment, c_acctbal AS balance FROM customer
+    UNION ALL SELECT 10 * s_suppkey + 3, s_suppkey, translate(md5('s' || s_suppkey), '0123456789abcdef', 'abcdefghiklmnopr'), s_nationkey, NULL, s_acctbal
+    FROM supplier),
+  named AS (SELECT id, k, 'the ' || substr(w, 1, 8) || ' ' || substr(w, 9, 6) || ' trading company' AS name, nation, segment, balance FROM letters),
+  spoilt AS (
+    SELECT id + 1 AS id, CASE k % 9 WHEN 0 THEN substr(name, 1, 5) || substr(name, 7) WHEN 3 THEN substr(name, 1, 6) || 'x' || substr(name, 8)
+             ELSE substr(name, 1, 10) || 'q' || substr(name, 11) END AS name, k,
+           CASE WHEN k % 15 <> 0 THEN nation END AS nation, CASE WHEN k % 21 = 0 THEN 'OTHER' ELSE segment END AS segment, balance
+    FROM named WHERE k % 3 = 0),
+  records AS (
+    SELECT id, name, nation, segment, balance FROM named
+    UNION ALL SELECT id, CASE WHEN k % 30 = 0 THEN substr(name, 1, length(name) - 1) WHEN k % 12 = 0 THEN upper(name) || '  ' ELSE name END,
+      nation, segment, balance FROM spoilt)"""
+
+
+@query(
+    "golden_record_scored",
+    f"""WITH RECURSIVE {NAMES},
+          norm AS (SELECT *, trim(lower(name)) AS n FROM records),
+          near AS (
+            SELECT a.id AS a, b.id AS b FROM norm a JOIN norm b ON a.id <> b.id AND abs(length(a.n) - length(b.n)) <= 2
+            WHERE levenshtein(a.n, b.n) <= 2 AND 0.7 * (1 - levenshtein(a.n, b.n) / CAST(greatest(length(a.n), length(b.n)) AS DOUBLE))
+              + CASE WHEN a.nation = b.nation THEN 0.2 ELSE 0 END + CASE WHEN a.segment = b.segment THEN 0.1 ELSE 0 END >= 0.85 - 1e-9),
+          walk(a, b) AS (SELECT id, id FROM norm UNION SELECT w.a, e.b FROM walk w JOIN near e ON w.b = e.a),
+          lab AS (SELECT a AS id, min(b) AS entity_id FROM walk GROUP BY a)
+        SELECT entity_id, count(*) AS n_records, arg_max(name, id) AS name, arg_max(nation, id) FILTER (nation IS NOT NULL) AS nation,
+               arg_max(segment, id) FILTER (segment IS NOT NULL) AS segment, arg_max(balance, id) AS balance
+        FROM norm JOIN lab USING (id) GROUP BY entity_id""",
+)
+def golden_record_scored(spark, sf_dir):
+    """Customers and suppliers, and a second source that misspells a third of their names."""
+    for name in ("customer", "supplier"):
+        table(spark, sf_dir, name).createOrReplaceTempView(f"names_{name}")
+    sql = NAMES.replace("FROM customer", "FROM names_customer").replace("FROM supplier", "FROM names_supplier").replace("VARCHAR", "STRING")
+    records = spark.sql(f"WITH {sql} SELECT * FROM records")
+    fields = {"nation": (F.col("nation"), 0.2), "segment": (F.col("segment"), 0.1)}
+    return similarity.golden_record_scored(
+        records, "id", F.col("name"), fields, 0.7, 0.85, ["id"], ["name", "nation", "segment", "balance"]
+    )
+
+
 @query("build_dim_customer", f"WITH {roles.CUSTOMERS} SELECT customer_id, name, coalesce(region, 'Unknown') AS region FROM customers")
 def build_dim_customer(spark, sf_dir):
     return dimensions.build_dim_customer(roles.customers(spark, sf_dir))
