@@ -9,6 +9,7 @@ from millrace.operators.windows import top_n_per_group
 from millrace.plans.registry import query, table
 from millrace.session import scratch_path
 from millrace.streaming import streams as S
+from millrace.streaming.alerts import breach_alerts
 
 EVENTS = "SELECT * FROM events"
 
@@ -26,11 +27,11 @@ ARRIVAL_SQL = "CAST(day(ts) // 7 AS INT) + CASE WHEN event_id % 97 = 0 THEN 1 EL
 DELIVERIES = 6
 
 
-def _deliver(spark, sf_dir, start, late=True, zoned=False):
+def _deliver(spark, sf_dir, start, late=True, zoned=False, arrival=None):
     """Deliver the events one part after the other; ``start`` gets the stream and runs it to the
     end of what is there, each time from the same checkpoint."""
     inbox = scratch_path(spark, "inbox")
-    events = table(spark, sf_dir, "events").withColumn("_arrival", F.expr(ARRIVAL if late else "CAST(day(ts) / 7 AS INT)"))
+    events = table(spark, sf_dir, "events").withColumn("_arrival", F.expr(arrival or (ARRIVAL if late else "CAST(day(ts) / 7 AS INT)")))
     schema = events.drop("_arrival").schema
     for n in range(DELIVERIES):
         events.filter(F.col("_arrival") == n).drop("_arrival").write.mode("append").parquet(inbox)
@@ -190,19 +191,22 @@ def stream_late_data(spark, sf_dir):
 @query(
     "stream_threshold_alert",
     """SELECT event_id, ts, user_id, event_type, value, props FROM (
-         SELECT *, lag(value > 50) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS was FROM events)
-       WHERE value > 50 AND NOT coalesce(was, false)""",
+         SELECT *, lag(value > 50) OVER w AS was, lag(ts) OVER w AS before FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+       WHERE value > 50 AND NOT (coalesce(was, false) AND ts - before <= INTERVAL 2 DAY)
+         AND ts <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 DAY FROM events)""",
 )
 def stream_threshold_alert(spark, sf_dir):
+    """Deliveries that overlap; each is a run of its own that goes on from the state of the one before. A device that is
+    silent for two days is forgotten."""
     out = scratch_path(spark, "alerts")
-    """Deliveries in event order; a device that is still beyond its limit gives no second alert."""
 
     def run(events):
-        alerts = S.threshold_alerts(events, "user_id", "ts", "event_id", F.col("value") > 50, out)
-        S.run_to_end(alerts, f"{out}/checkpoint")
+        alerts = breach_alerts(events, "user_id", "ts", "event_id", F.col("value") > 50, "1 day", "2 days")
+        S.run_to_end(S.append_files(alerts, f"{out}/data"), f"{out}/checkpoint")
 
-    schema = _deliver(spark, sf_dir, run, late=False)
-    return S.read_batches(spark, f"{out}/alerts", schema).drop(S.BATCH)
+    late = "CAST((day(ts) * 24 + hour(ts) + CASE WHEN event_id % 13 = 0 THEN 12 ELSE 0 END) / 168 AS INT)"
+    _deliver(spark, sf_dir, run, zoned=True, arrival=late)
+    return _plain(spark.read.parquet(f"{out}/data"), "ts")
 
 
 @query(
