@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.cleansing import dedup_latest
@@ -44,15 +44,66 @@ def cdc_to_scd2(
     )
 
 
-def table_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+LEAVES, FAN_OUT = 1 << 16, 256
+
+
+def _leaf(keys: Sequence[str], leaves: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(leaves))
+
+
+def bucket_digests(df: DataFrame, keys: Sequence[str], leaves: int = LEAVES) -> DataFrame:
+    """``leaf, n, first, second``: rows of a version by a hash of their key, and the sums of two 64-bit hashes of each row.
+    Sums do not depend on order, so equal rows give equal digests however they are stored; keep them with a version and
+    it need not be read again."""
+    # A hash skips NULLs, so which columns are NULL is hashed too.
+    row = [F.array(*[F.col(c).isNull() for c in df.columns]), *[F.col(c) for c in df.columns]]
+    sums = [F.sum(F.xxhash64(F.lit(seed), *row).cast("decimal(38,0)")).alias(name) for seed, name in ((1, "first"), (2, "second"))]
+    return df.groupBy(_leaf(keys, leaves).alias("leaf")).agg(F.count(F.lit(1)).alias("n"), *sums)
+
+
+def differing_leaves(old: DataFrame, new: DataFrame, fan_out: int = FAN_OUT) -> DataFrame:
+    """``leaf`` of the buckets whose digests differ, found from the top: first the sums of ``fan_out`` buckets each are
+    compared, then the buckets below those that differ."""
+
+    def unlike(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+        kept = [F.struct("n", "first", "second").alias("d")]
+        both = a.select(key, *kept).join(b.select(key, F.struct("n", "first", "second").alias("e")), key, "full")
+        return both.filter(~F.col("d").eqNullSafe(F.col("e"))).select(key)
+
+    def above(leaves: DataFrame) -> DataFrame:
+        node = F.floor(F.col("leaf") / fan_out).alias("node")
+        return leaves.groupBy(node).agg(*[F.sum(c).alias(c) for c in ("n", "first", "second")])
+
+    nodes = unlike(above(old), above(new), "node")
+    below = lambda d: d.withColumn("node", F.floor(F.col("leaf") / fan_out)).join(nodes, "node", "left_semi")
+    return unlike(below(old), below(new), "leaf")
+
+
+def rows_in_leaves(df: DataFrame, keys: Sequence[str], unlike: DataFrame, leaves: int = LEAVES) -> DataFrame:
+    """Rows in the buckets of ``unlike``, which has at most ``leaves`` rows and is broadcast for that reason."""
+    return df.join(F.broadcast(unlike.select(F.col("leaf").alias("_leaf"))), _leaf(keys, leaves) == F.col("_leaf"), "left_semi")
+
+
+def table_diff(
+    old: DataFrame,
+    new: DataFrame,
+    keys: Sequence[str],
+    old_digests: DataFrame | None = None,
+    new_digests: DataFrame | None = None,
+    leaves: int = LEAVES,
+) -> DataFrame:
     """Change feed between two versions, as ``_op`` and ``is_update`` on the rows that differ.
 
-    Inserted and updated rows carry the new values, deleted rows the old ones.
-    Keys are unique in each version, so no key can be heavy.
+    Inserted and updated rows carry the new values, deleted rows the old ones. Digests of buckets of both versions are
+    compared first, so only buckets with a change are shuffled and joined; pass digests that were kept to save a
+    read of a version. Keys are unique in each version, so no key can be heavy.
     """
     others = [c for c in new.columns if c not in keys]
-    a = old.select(*keys, F.struct(*others).alias("_a"))
-    b = new.select(*keys, F.struct(*others).alias("_b"))
+    old, new = old.select(*keys, *others), new.select(*keys, *others)
+    digests = [d if d is not None else bucket_digests(v, keys, leaves) for v, d in ((old, old_digests), (new, new_digests))]
+    unlike = differing_leaves(*digests)
+    a = rows_in_leaves(old, keys, unlike, leaves).select(*keys, F.struct(*others).alias("_a"))
+    b = rows_in_leaves(new, keys, unlike, leaves).select(*keys, F.struct(*others).alias("_b"))
     pairs = a.join(b, list(keys), "full").filter(~F.col("_a").eqNullSafe(F.col("_b")))
     op = F.when(F.col("_a").isNull(), "I").when(F.col("_b").isNull(), "D").otherwise("U")
     row = F.coalesce("_b", "_a")

@@ -29,13 +29,14 @@ def file_sizes(spark: SparkSession, path: str, suffix: str = "parquet") -> DataF
     )
 
 
-def read_as_written(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet folder whose partition values stay text, so that ``01`` does not become ``1``."""
+def read_as_written(spark: SparkSession, path: str | list[str], base: str | None = None) -> DataFrame:
+    """Parquet folder, or some files below ``base``, whose partition values stay text, so that ``01`` does not become ``1``."""
     name = "spark.sql.sources.partitionColumnTypeInference.enabled"
     before = spark.conf.get(name)
     spark.conf.set(name, "false")
     try:
-        return spark.read.parquet(path)
+        reader = spark.read if base is None else spark.read.option("basePath", base)
+        return reader.parquet(*([path] if isinstance(path, str) else path))
     finally:
         spark.conf.set(name, before)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions import columns as C
-from millrace.operators import aggregates, cleansing, dimensions, layout, quality, security
+from millrace.operators import aggregates, cleansing, compaction, dimensions, layout, quality, security
 from millrace.plans import roles
 from millrace.plans.models import Model, run_models
 from millrace.plans.q_rows import clean
@@ -233,12 +233,14 @@ def _lines(spark, sf_dir):
 
 @query("compact_files", LINES)
 def compact_files(spark, sf_dir):
-    """Many small files per flag, rewritten to the target size; the rows stay the same."""
-    small, big = scratch_path(spark, "small"), scratch_path(spark, "compact")
-    spread = layout.spread_partitions(_lines(spark, sf_dir), 32)
-    spread.write.partitionBy("l_returnflag").parquet(small)
-    layout.compact_files(spark, small, big, ["l_returnflag"])
-    return layout.read_as_written(spark, big)
+    """One file of the target size and many small ones in each flag's folder: the small ones are merged in place."""
+    path = scratch_path(spark, "files")
+    lines = _lines(spark, sf_dir)
+    layout.merge_partitions(lines.filter("l_partkey % 2 = 0"), 1).write.partitionBy("l_returnflag").parquet(path)
+    target = compaction.data_files(spark, path).agg(F.min("length")).first()[0]
+    layout.spread_partitions(lines.filter("l_partkey % 2 = 1"), 32).write.mode("append").partitionBy("l_returnflag").parquet(path)
+    compaction.compact_small_files(spark, path, ["l_returnflag"], target)
+    return layout.read_as_written(spark, path)
 
 
 @query("zorder_layout", LINES)
