@@ -9,7 +9,7 @@ from millrace.operators import cleansing
 from millrace.plans import roles
 from millrace.plans.registry import query, table
 from millrace.session import scratch_name, scratch_path
-from millrace.sources import catalog, readers, writers
+from millrace.sources import catalog, profile, readers, writers
 from millrace.sources.ledger import FileLedger
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"]
@@ -236,6 +236,31 @@ def dataset_profile(spark, sf_dir):
     return readers.dataset_profile(table(spark, sf_dir, "customer"))
 
 
+SKETCHED = {"l_quantity": "double", "l_discount": "double", "l_tax": "double", "l_linenumber": "int", "l_linestatus": "string"}
+
+
+def _sketched_sql() -> str:
+    lines = """(SELECT l_quantity, l_discount + 0.0 AS l_discount, l_tax + 0.0 AS l_tax, l_linenumber, l_linestatus FROM lineitem)"""
+    return " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, '{kind}' AS data_type, count(*) AS n_rows, count(*) - count({c}) AS n_nulls,
+            CAST(min({c}) AS VARCHAR) AS lowest, CAST(max({c}) AS VARCHAR) AS highest, count(DISTINCT {c}) AS n_distinct,
+            (SELECT max(n) FROM (SELECT count(*) AS n FROM {lines} GROUP BY {c})) AS n_most_frequent FROM {lines}"""
+        for c, kind in SKETCHED.items()
+    )
+
+
+@query("dataset_profile_sketched", _sketched_sql())
+def dataset_profile_sketched(spark, sf_dir):
+    """Folders arrive one after the other; each is sketched once. These columns have few values, for which sketches are exact."""
+    store = scratch_path(spark, "profile")
+    lines = table(spark, sf_dir, "lineitem").withColumns({c: F.col(c) + 0.0 for c in ("l_discount", "l_tax")})
+    for flag in ("A", "N", "R"):
+        profile.add_folders(lines.filter(F.col("l_returnflag") == flag).select("l_returnflag", *SKETCHED), store, ["l_returnflag"])
+    merged = profile.merged_profile(spark.read.parquet(store), top=1)
+    most = F.get("frequent", F.lit(0))["count"].alias("n_most_frequent")
+    return merged.select("column_name", "data_type", "n_rows", "n_nulls", "lowest", "highest", "n_distinct", most)
+
+
 @query("export_query", "SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY o_orderpriority")
 def export_query(spark, sf_dir):
     path = scratch_path(spark, "export")

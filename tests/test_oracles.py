@@ -26,8 +26,7 @@ def test_query(spark, sf_dir, duck, name):
 
 
 def test_sql_twins_belong_to_queries():
-    assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"sample_rows", "limit_preview"}
+    assert set(SQL) == set(QUERIES)
 
 
 def test_entry(spark):
