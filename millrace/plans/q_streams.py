@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.columns import money_total
 from millrace.operators.windows import top_n_per_group
 from millrace.plans.registry import query, table
 from millrace.session import scratch_path
+from millrace.streaming import late
 from millrace.streaming import streams as S
 from millrace.streaming.alerts import breach_alerts
 
@@ -27,11 +29,11 @@ ARRIVAL_SQL = "CAST(day(ts) // 7 AS INT) + CASE WHEN event_id % 97 = 0 THEN 1 EL
 DELIVERIES = 6
 
 
-def _deliver(spark, sf_dir, start, late=True, zoned=False, arrival=None):
+def _deliver(spark, sf_dir, start, delayed=True, zoned=False, arrival=None):
     """Deliver the events one part after the other; ``start`` gets the stream and runs it to the
     end of what is there, each time from the same checkpoint."""
     inbox = scratch_path(spark, "inbox")
-    events = table(spark, sf_dir, "events").withColumn("_arrival", F.expr(arrival or (ARRIVAL if late else "CAST(day(ts) / 7 AS INT)")))
+    events = table(spark, sf_dir, "events").withColumn("_arrival", F.expr(arrival or (ARRIVAL if delayed else "CAST(day(ts) / 7 AS INT)")))
     schema = events.drop("_arrival").schema
     for n in range(DELIVERIES):
         events.filter(F.col("_arrival") == n).drop("_arrival").write.mode("append").parquet(inbox)
@@ -140,7 +142,7 @@ def stream_dedup(spark, sf_dir):
         unique = S.dedup_stream(twice, "ts", "1 hour", ["event_id"])
         S.run_to_end(S.append_files(unique, f"{out}/data"), f"{out}/checkpoint")
 
-    _deliver(spark, sf_dir, run, late=False, zoned=True)
+    _deliver(spark, sf_dir, run, delayed=False, zoned=True)
     return _plain(spark.read.parquet(f"{out}/data"), "ts")
 
 
@@ -182,10 +184,34 @@ def stream_late_data(spark, sf_dir):
     )
     dated = T.StructType([*schema.fields, T.StructField("event_date", T.DateType())])
     on_time = S.read_batches(spark, f"{out}/on_time", dated).withColumn("target", F.lit("on_time"))
-    late = S.read_batches(spark, f"{out}/late", schema).withColumns(
+    put_aside = S.read_batches(spark, f"{out}/late", schema).withColumns(
         {"event_date": F.col("ts").cast("date"), "target": F.lit("late")}
     )
-    return on_time.unionByName(late).drop(S.BATCH)
+    return on_time.unionByName(put_aside).drop(S.BATCH)
+
+
+@query(
+    "stream_late_reprocess",
+    f"""WITH e AS (SELECT *, CAST(ts AS DATE) AS event_date, {ARRIVAL_SQL} AS arrival FROM events)
+       SELECT event_date, event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total,
+              (SELECT count(DISTINCT arrival) FROM e x WHERE x.event_date = e.event_date) AS version
+       FROM e GROUP BY event_date, event_type""",
+)
+def stream_late_reprocess(spark, sf_dir):
+    """Late events go back into their days: after each delivery the days with new events are served again, and no others."""
+    out = scratch_path(spark, "served")
+    schema = table(spark, sf_dir, "events").schema
+
+    def build(events):
+        return events.groupBy("event_date", "event_type").agg(F.count(F.lit(1)).alias("n"), money_total("value").alias("total"))
+
+    def run(events):
+        S.run_to_end(S.split_late(events, "ts", "1 hour", out), f"{out}/checkpoint")
+        late.serve_dates(spark, out, f"{out}/served", schema, "ts", build)
+
+    _deliver(spark, sf_dir, run)
+    versions = late.ledger(spark, f"{out}/served_versions").groupBy("event_date").agg(F.max("version").alias("version"))
+    return spark.read.parquet(f"{out}/served").join(versions, "event_date").select("event_date", "event_type", "n", "total", "version")
 
 
 @query(
@@ -204,8 +230,8 @@ def stream_threshold_alert(spark, sf_dir):
         alerts = breach_alerts(events, "user_id", "ts", "event_id", F.col("value") > 50, "1 day", "2 days")
         S.run_to_end(S.append_files(alerts, f"{out}/data"), f"{out}/checkpoint")
 
-    late = "CAST((day(ts) * 24 + hour(ts) + CASE WHEN event_id % 13 = 0 THEN 12 ELSE 0 END) / 168 AS INT)"
-    _deliver(spark, sf_dir, run, zoned=True, arrival=late)
+    overlapping = "CAST((day(ts) * 24 + hour(ts) + CASE WHEN event_id % 13 = 0 THEN 12 ELSE 0 END) / 168 AS INT)"
+    _deliver(spark, sf_dir, run, zoned=True, arrival=overlapping)
     return _plain(spark.read.parquet(f"{out}/data"), "ts")
 
 
