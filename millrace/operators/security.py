@@ -7,6 +7,7 @@ from collections.abc import Collection, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.collections import explode_rows
 from millrace.functions.columns import EMAIL_PATTERN
 from millrace.operators.joins import rows_with_match, rows_without_match
 
@@ -48,6 +49,58 @@ def pii_scan(df: DataFrame, columns: Sequence[str], patterns: Mapping[str, str]
     return counted.select(F.explode("_r").alias("r")).select("r.label.*", "r.hits")
 
 
+# What numbers with check digits look like.
+CHECKED_PATTERNS = {"card": r"\b[0-9](?:[ -]?[0-9]){12,18}\b", "iban": r"\b[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}\b"}
+
+
+def card_is_valid(number: Column) -> Column:
+    """Luhn's rule: from the right, every second digit is doubled, and all digits add up to a multiple of ten."""
+    digits = F.filter(F.split(F.reverse(F.regexp_replace(number, "[^0-9]", "")), ""), lambda d: d != "")
+    weighed = F.transform(digits, lambda d, i: d.cast("int") * (1 + i % 2))
+    return F.aggregate(weighed, F.lit(0), lambda s, d: s + d - F.when(d > 9, 9).otherwise(0)) % 10 == 0
+
+
+def iban_is_valid(number: Column) -> Column:
+    """The first four characters go to the end, letters count from ten, and the whole number is one modulo 97."""
+    turned = F.concat(F.substring(number, F.lit(5), F.length(number)), F.substring(number, 1, 4))
+    letters = F.filter(F.split(turned, ""), lambda c: c != "")
+
+    def step(rest: Column, c: Column) -> Column:
+        is_digit = c.between("0", "9")
+        value = F.when(is_digit, F.ascii(c) - 48).otherwise(F.ascii(c) - 55)
+        return (rest * F.when(is_digit, 10).otherwise(100) + value) % 97
+
+    return F.aggregate(letters, F.lit(0), step) == 1
+
+
+CHECKS = {"card": card_is_valid, "iban": iban_is_valid}
+
+
+def verified_scan(df: DataFrame, columns: Sequence[str], min_share: float = 0.5, min_distinct: int = 10) -> DataFrame:
+    """Candidates for numbers with check digits in each column, how many are valid, and what the column is taken for.
+
+    One in ten numbers fits Luhn's rule by chance and one in 97 the other, so a column is named after a kind only if at
+    least ``min_share`` of its candidates are valid and ``min_distinct`` different ones are. A kind without
+    candidates has no row.
+    """
+
+    def candidates(c: str, k: str) -> Column:
+        numbers = F.coalesce(F.regexp_extract_all(F.col(c), F.lit(CHECKED_PATTERNS[k]), F.lit(0)), F.array())
+        named = lambda v: F.struct(F.lit(c).alias("column_name"), F.lit(k).alias("kind"), v.alias("value"), CHECKS[k](v).alias("valid"))
+        return F.transform(numbers, named)
+
+    found = [candidates(c, k) for c in columns for k in CHECKED_PATTERNS]
+    hits = explode_rows(df, F.concat(*found), "h").select("h.*")
+    counts = hits.groupBy("column_name", "kind", "value", "valid").agg(F.count(F.lit(1)).alias("n"))
+    totals = counts.groupBy("column_name", "kind").agg(
+        F.sum("n").alias("n_candidates"),
+        F.coalesce(F.sum(F.when(F.col("valid"), F.col("n"))), F.lit(0)).alias("n_valid"),
+        F.count_if("valid").alias("n_distinct"),
+    )
+    sure = (F.col("n_valid") >= min_share * F.col("n_candidates")) & (F.col("n_distinct") >= min_distinct)
+    return totals.withColumn("verdict", F.when(sure, F.col("kind")).otherwise("none"))
+
+
 def retention_purge(df: DataFrame, date_column: str, keep_from: str) -> DataFrame:
     """Rows inside the retention period; the bare column lets partitions be skipped."""
     kind = df.schema[date_column].dataType

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions import columns as C
-from millrace.operators import aggregates, cleansing, compaction, dimensions, layout, quality, security
+from millrace.operators import aggregates, cleansing, compaction, dimensions, layout, quality, security, tokens
 from millrace.plans import roles
 from millrace.plans.models import Model, run_models
 from millrace.plans.q_rows import clean
@@ -202,6 +202,64 @@ def pii_scan(spark, sf_dir):
     return security.pii_scan(table(spark, sf_dir, "documents"), ["text", "lang", "source"])
 
 
+#: Numbers of customers: valid cards, numbers like cards, and account numbers of which one in 97 is valid.
+NUMBERS = """SELECT c_custkey, concat('card 4000-0000-0000-', a, b, c, check_digit, '.') AS card, concat(lpad(CAST(c_custkey AS VARCHAR(20)), 14, '0'), '7') AS serial,
+    concat('to DE', lpad(CAST(c_custkey % 100 AS VARCHAR(20)), 2, '0'), lpad(CAST(c_custkey * 7919 AS VARCHAR(20)), 18, '0'), ';') AS account FROM (
+  SELECT c_custkey, a, b, c, CAST((10 - (8 + a + b + c + a - CASE WHEN a > 4 THEN 9 ELSE 0 END + c - CASE WHEN c > 4 THEN 9 ELSE 0 END) % 10) % 10 AS INT) AS check_digit
+  FROM (SELECT c_custkey, CAST((c_custkey % 1000 - c_custkey % 100) / 100 AS INT) AS a, CAST((c_custkey % 100 - c_custkey % 10) / 10 AS INT) AS b,
+               CAST(c_custkey % 10 AS INT) AS c FROM customer) k) d"""
+
+
+@query(
+    "pii_scan_verified",
+    rf"""WITH numbers AS ({NUMBERS}),
+         cards AS (
+           SELECT 'card' AS column_name, unnest(regexp_extract_all(card, '[0-9](?:[ -]?[0-9]){{12,18}}')) AS v FROM numbers
+           UNION ALL SELECT 'serial', unnest(regexp_extract_all(serial, '[0-9](?:[ -]?[0-9]){{12,18}}')) FROM numbers),
+         digits AS (SELECT column_name, v, reverse(regexp_replace(v, '[^0-9]', '', 'g')) AS d FROM cards),
+         luhn AS (SELECT column_name, 'card' AS kind, v, list_sum(list_transform(range(1, len(d) + 1), lambda i:
+             CASE WHEN i % 2 = 1 THEN CAST(d[i] AS INT) WHEN d[i] > '4' THEN 2 * CAST(d[i] AS INT) - 9 ELSE 2 * CAST(d[i] AS INT) END)) % 10 = 0 AS ok
+           FROM digits),
+         accounts AS (SELECT unnest(regexp_extract_all(account, '[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}}')) AS v FROM numbers),
+         mod97 AS (SELECT 'account' AS column_name, 'iban' AS kind, v, CAST(v[5:] || '1314' || v[3:4] AS HUGEINT) % 97 = 1 AS ok FROM accounts),
+         hits AS (SELECT * FROM luhn UNION ALL SELECT * FROM mod97)
+       SELECT column_name, kind, count(*) AS n_candidates, count(*) FILTER (ok) AS n_valid, count(DISTINCT v) FILTER (ok) AS n_distinct,
+              CASE WHEN count(*) FILTER (ok) >= 0.5 * count(*) AND count(DISTINCT v) FILTER (ok) >= 10 THEN kind ELSE 'none' END AS verdict
+       FROM hits GROUP BY column_name, kind""",
+)
+def pii_scan_verified(spark, sf_dir):
+    """Cards are known by their check digit; serial numbers that look alike are not taken for cards."""
+    table(spark, sf_dir, "customer").createOrReplaceTempView("numbered_customer")
+    numbers = spark.sql(NUMBERS.replace("FROM customer", "FROM numbered_customer"))
+    return security.verified_scan(numbers, ["card", "serial", "account"])
+
+
+PHONE = "substr(d, 1, 3) || '-' || substr(d, 4, 3) || ' ' || substr(d, 7)"
+
+
+def _feistel_sql() -> str:
+    """The rounds one by one over nine digits, halves of four and five."""
+    steps = "r0 AS (SELECT k, substr(d, 1, 4) AS a, substr(d, 5) AS b FROM v)"
+    for i in range(tokens.ROUNDS):
+        width = 4 if i % 2 == 0 else 5
+        number = f"CAST('0x' || substr(sha256('pepper:{i}:9:' || b), 1, 15) AS BIGINT)"
+        steps += f", r{i + 1} AS (SELECT k, b AS a, lpad(CAST((CAST(a AS BIGINT) + {number}) % {10**width} AS VARCHAR), {width}, '0') AS b FROM r{i})"
+    return f"v AS (SELECT c_custkey AS k, lpad(CAST(c_custkey * 11 AS VARCHAR), 9, '0') AS d FROM customer), {steps}"
+
+
+@query(
+    "mask_tokens",
+    f"""WITH {_feistel_sql()}, t AS (SELECT k, a || b AS d FROM r{tokens.ROUNDS})
+        SELECT t.k AS c_custkey, (SELECT {PHONE} FROM v WHERE v.k = t.k) AS phone, {PHONE} AS token FROM t""",
+)
+def mask_tokens(spark, sf_dir):
+    """Phone numbers as tokens of the same format; ``phone`` is what comes back from the token with the key."""
+    digits = F.lpad((F.col("c_custkey") * 11).cast("string"), 9, "0")
+    phone = F.concat(F.substring(digits, 1, 3), F.lit("-"), F.substring(digits, 4, 3), F.lit(" "), F.substring(digits, 7, 3))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", tokens.digit_token(phone, "pepper").alias("token"))
+    return rows.withColumn("phone", tokens.digit_token(F.col("token"), "pepper", back=True))
+
+
 @query(
     "retention_purge",
     """SELECT o_orderkey, o_custkey, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01'
