@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators import cdc, merge, scd
+from millrace.operators import cdc, merge, scd, snapshots
 from millrace.plans import roles
 from millrace.plans.registry import query, table
+from millrace.session import scratch_path
 
 CUSTOMER = "c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment"
 TRACKED = ["c_acctbal", "c_mktsegment"]
@@ -196,7 +197,13 @@ def apply_cdc_log(spark, sf_dir):
 
 @query("state_as_of", APPLY.format(where="WHERE ts <= TIMESTAMP '2024-01-15 12:00:00'"))
 def state_as_of(spark, sf_dir):
-    return cdc.state_as_of(roles.change_log(spark, sf_dir), ["user_id"], ["ts", "event_id"], "2024-01-15 12:00:00")
+    """The log comes week by week, late changes with it, with a snapshot every other week; the state reads one and the tail."""
+    changes = roles.change_log(spark, sf_dir)
+    log = snapshots.SnapshotLog(spark, scratch_path(spark, "log"), changes.schema, ["user_id"], ["ts", "event_id"], every=2)
+    week = F.expr("CAST(day(ts) / 7 AS INT) + CASE WHEN event_id % 97 = 0 THEN 1 ELSE 0 END")
+    for version in range(6):
+        log.append(changes.filter(week == version), version)
+    return log.state_as_of("2024-01-15 12:00:00")
 
 
 @query(
