@@ -6,10 +6,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.columns import money_total
-from millrace.operators.windows import top_n_per_group
 from millrace.plans.registry import query, table
 from millrace.session import scratch_path
-from millrace.streaming import late
+from millrace.streaming import late, trending
 from millrace.streaming import streams as S
 from millrace.streaming.alerts import breach_alerts
 
@@ -109,10 +108,9 @@ def stream_tumbling(spark, sf_dir):
 )
 def stream_sliding_trending(spark, sf_dir):
     """The three most active users of every twelve hours, every six hours."""
-    counts = S.sliding(_events(spark, sf_dir), "ts", "12 hours", "6 hours", "1 hour", ["user_id"], _counts())
-    logged = _logged(spark, counts, "trending", ["window_start", "user_id"])
-    top = top_n_per_group(logged, ["window_start"], [F.desc("n"), F.asc("user_id")], 3)
-    return _plain(top, "window_start", "window_end")
+    summaries = trending.slide_summaries(_events(spark, sf_dir), "ts", "6 hours", "1 hour", "user_id")
+    logged = _logged(spark, summaries, "trending", ["window_start"])
+    return _plain(trending.sliding_top(logged, "6 hours", 2, "user_id", 3), "window_start", "window_end")
 
 
 @query(
