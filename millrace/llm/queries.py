@@ -77,19 +77,32 @@ fits AS (
   WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)),
 own AS (SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(v, length(rule)) AS v FROM fits GROUP BY page_id),
 form AS (
-  SELECT page_id, html, host, path,
+  SELECT page_id, html, url, host, path,
     CASE WHEN contains(url, '://') THEN host || regexp_replace(path, '/+$', '') || CASE WHEN len(kept) = 0 THEN ''
       ELSE '?' || array_to_string(kept, '&') END END AS node
   FROM (SELECT *, [x FOR x IN string_split(regexp_extract(url, '(?s)^[^?#]*\?([^#]*)', 1), '&')
       IF x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)')] AS kept FROM parts)),
-tags AS (SELECT node, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM form),
-targets AS (
-  SELECT node, regexp_extract(tag, '(?is)((?:href|content)\s*=\s*["'']?\s*|url\s*=\s*)(https?://[^"''\s>;]+)', 2) AS t
-  FROM tags WHERE regexp_matches(tag,
-    '(?is)(rel\s*=\s*["'']?canonical\b|property\s*=\s*["'']?og:url\b|http-equiv\s*=\s*["'']?refresh\b)')),
+tags AS (SELECT node, url, host, path, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM form),
+named AS (
+  SELECT node, url, host, path, CASE WHEN regexp_matches(tag, '(?is)http-equiv\s*=\s*["'']?refresh\b')
+    THEN regexp_extract(value, '(?is)\burl\s*=\s*["'']?([^"''\s;]+)', 1) ELSE value END AS t
+  FROM (SELECT *, trim(replace(regexp_replace(regexp_extract(tag, '(?is)\b(?:href|content)\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 1),
+      '^["'']|["'']$', '', 'g'), '&amp;', '&')) AS value FROM tags WHERE regexp_matches(tag,
+    '(?is)(rel\s*=\s*["'']?canonical\b|property\s*=\s*["'']?og:url\b|http-equiv\s*=\s*["'']?refresh\b)'))),
+whole AS (
+  SELECT node, CASE WHEN regexp_matches(t, '(?i)^https?://') THEN t WHEN starts_with(t, '//') THEN 'http:' || t
+    WHEN regexp_matches(t, '^([A-Za-z][A-Za-z0-9+.-]*:|#)') THEN NULL WHEN starts_with(t, '/') THEN 'http://' || host || t
+    WHEN starts_with(t, '?') THEN 'http://' || host || path || t
+    ELSE 'http://' || host || CASE WHEN contains(path, '/') THEN regexp_extract(path, '(?s)^(.*/)', 1) ELSE '/' END || t END AS t
+  FROM named WHERE t <> '' AND contains(url, '://')),
+cut AS (
+  SELECT node, lower(regexp_extract(t, '(?s)^.*?://([^/?#]*)', 1)) AS h, regexp_extract(t, '(?s)^[^?#]*\?([^#]*)', 1) AS q,
+    list_transform(string_split(regexp_extract(t, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '/'), lambda x: [x]) AS p FROM whole WHERE t IS NOT NULL),
 edges AS (
-  SELECT node AS a, lower(regexp_extract(t, '(?s)^.*?://([^/?#]*)', 1))
-    || regexp_replace(regexp_extract(t, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '/+$', '') AS b FROM targets WHERE t <> ''),
+  SELECT node AS a, h || regexp_replace(array_to_string(list_reduce(p, lambda acc, x: CASE WHEN x[1] = '.' THEN acc
+      WHEN x[1] = '..' THEN acc[1:greatest(len(acc) - 1, 1)] ELSE list_concat(acc, x) END), '/'), '/+$', '')
+    || CASE WHEN len(kept) = 0 THEN '' ELSE '?' || array_to_string(kept, '&') END AS b
+  FROM (SELECT *, [x FOR x IN string_split(q, '&') IF x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)')] AS kept FROM cut)),
 ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
 reach(node, other) AS (
   SELECT node, node FROM form WHERE node IS NOT NULL

@@ -61,25 +61,66 @@ def canonical_form(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.concat(place, F.when(kept == "", "").otherwise(F.concat(F.lit("?"), kept))))
 
 
+def _attribute(tag: Column) -> Column:
+    """What ``href`` or ``content`` of a tag says, in quotes or without."""
+    value = F.regexp_extract(tag, r"""(?is)\b(?:href|content)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
+    return F.trim(F.replace(F.regexp_replace(value, r"""^["']|["']$""", ""), F.lit("&amp;"), F.lit("&")))
+
+
 def declared_targets(html: Column) -> Column:
-    """URLs that a page names as its canonical form or redirects to: ``<link rel=canonical>``,
+    """What a page names as its canonical form or redirects to, as written: ``<link rel=canonical>``,
     ``<meta property=og:url>`` and ``<meta http-equiv=refresh>``."""
     html = F.coalesce(html, F.lit(""))
     tags = F.regexp_extract_all(html, F.lit(r"(?is)<(?:link|meta)\b[^>]*>"), F.lit(0))
     asks = r"""(?is)(rel\s*=\s*["']?canonical\b|property\s*=\s*["']?og:url\b|http-equiv\s*=\s*["']?refresh\b)"""
-    address = r"""(?is)((?:href|content)\s*=\s*["']?\s*|url\s*=\s*)(https?://[^"'\s>;]+)"""
-    urls = F.transform(F.filter(tags, lambda t: t.rlike(asks)), lambda t: F.regexp_extract(t, address, 2))
-    return F.array_distinct(F.filter(urls, lambda u: u != ""))
+
+    def target(tag: Column) -> Column:
+        value = _attribute(tag)
+        later = F.regexp_extract(value, r"""(?is)\burl\s*=\s*["']?([^"'\s;]+)""", 1)
+        return F.when(tag.rlike(r"""(?is)http-equiv\s*=\s*["']?refresh\b"""), later).otherwise(value)
+
+    return F.array_distinct(F.filter(F.transform(F.filter(tags, lambda t: t.rlike(asks)), target), lambda u: u != ""))
+
+
+def _without_dots(path: Column) -> Column:
+    """A path without its ``.`` and ``..`` segments."""
+    empty = F.array().cast("array<string>")
+
+    def step(kept: Column, part: Column) -> Column:
+        shorter = F.when(F.size(kept) > 1, F.slice(kept, F.lit(1), F.size(kept) - 1)).otherwise(kept)
+        return F.when(part == ".", kept).when(part == "..", shorter).otherwise(F.concat(kept, F.array(part)))
+
+    return F.array_join(F.aggregate(F.split(path, "/"), empty, step), "/")
+
+
+def resolved(target: Column, page: Column) -> Column:
+    """A target as a whole URL, seen from the page that names it; NULL for other schemes than http and https, for a place
+    within the page, and on a page without an address of its own."""
+    root = F.concat(F.regexp_extract(page, r"(?s)^([^:/?#]*):", 1), F.lit("://"), host_of(page))
+    folder = F.regexp_extract(path_of(page), r"(?s)^(.*/)", 1)
+    url = (
+        F.when(F.instr(page, "://") == 0, F.lit(None))
+        .when(target.rlike(r"(?i)^https?://"), target)
+        .when(target.rlike("^//"), F.concat(F.lit("http:"), target))
+        .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:") | target.rlike("^#"), F.lit(None))
+        .when(target.rlike("^/"), F.concat(root, target))
+        .when(target.rlike(r"^\?"), F.concat(root, path_of(page), target))
+        .otherwise(F.concat(root, F.when(folder == "", "/").otherwise(folder), target))
+    )
+    path = path_of(url)
+    dotted = F.concat(F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1), _without_dots(path), F.regexp_extract(url, r"(?s)(\?.*)$", 1))
+    return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), dotted).otherwise(url)
 
 
 def alias_edges(pages: DataFrame, url: str, html: str, redirects: DataFrame | None) -> DataFrame:
     """``a, b``: the canonical forms of URLs that name the same page."""
-    declared = pages.select(
-        canonical_form(F.col(url)).alias("a"), F.explode(declared_targets(F.col(html))).alias("target")
-    ).select("a", canonical_form(F.col("target")).alias("b"))
+    declared = pages.select(F.col(url).alias("page"), F.explode(declared_targets(F.col(html))).alias("target"))
+    declared = declared.select(canonical_form(F.col("page")).alias("a"), canonical_form(resolved(F.col("target"), F.col("page"))).alias("b"))
     if redirects is None:
         return declared
-    known = redirects.select(canonical_form(F.col("source")).alias("a"), canonical_form(F.col("target")).alias("b"))
+    known = redirects.select(
+        canonical_form(F.col("source")).alias("a"), canonical_form(resolved(F.col("target"), F.col("source"))).alias("b")
+    )
     return declared.unionByName(known)
 
 
@@ -93,11 +134,11 @@ def judge_urls(
 ) -> DataFrame:
     """``key, host, path, rule, verdict, alias_of`` for every row of ``pages``.
 
-    ``redirects`` may add edges (``source, target``). URLs with the same canonical
+    ``redirects`` may add edges (``source, target``). Targets may be relative to the page. URLs with the same canonical
     form are one node; ``alias_of`` is the least one of the component. A URL that
     is NULL or lacks ``://`` has an empty host and path, no alias and the verdict
     allow. Repeated rows each get a row; further columns of ``pages`` are ignored.
-    An empty table gives an empty result.
+    An empty table gives an empty result; html of any length is read whole.
     """
     nodes = stored(
         pages.select(
@@ -108,7 +149,7 @@ def judge_urls(
         ).withColumn("_own", fitting_rule(F.col("host"), F.col("path"), rules)),
         "urls",
     )
-    edges = alias_edges(pages, url, html, redirects)
+    edges = stored(alias_edges(pages, url, html, redirects), "alias-edges")  # the components read them more than once
     # Canonical forms without a declared edge are components by themselves.
     members = stored(connected_components(edges), "aliases")
     named = nodes.groupBy("_node").agg(
