@@ -172,7 +172,7 @@ def scd2_integrity(dim: DataFrame, key: str) -> DataFrame:
         F.count_if((F.col(CURRENT) == F.col(END).isNotNull()) | F.coalesce(F.col(END) < F.col(START), F.lit(False))).alias("_bad_end"),
     )
     return per_key.agg(
-        F.count_if(F.col("_current") > 1).alias("bad_multiple_current"),
+        F.count_if(F.col("_current") > 1).alias("keys_with_two_current"),
         F.sum("_bad_end").alias("bad_end_date"),
         F.count_if(F.col("_versions") > 1).alias("keys_with_history"),
         F.sum("_versions").alias("total_versions"),

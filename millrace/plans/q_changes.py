@@ -136,7 +136,7 @@ def scd2_as_of(spark, sf_dir):
     "scd2_integrity",
     f"""WITH {SCD2}, k AS (SELECT c_custkey, count(*) FILTER (is_current) AS cur, count(*) AS n,
              count(*) FILTER (is_current = (end_date IS NOT NULL)) AS bad FROM scd2 GROUP BY c_custkey)
-        SELECT count(*) FILTER (cur > 1) AS bad_multiple_current, CAST(sum(bad) AS BIGINT) AS bad_end_date,
+        SELECT count(*) FILTER (cur > 1) AS keys_with_two_current, CAST(sum(bad) AS BIGINT) AS bad_end_date,
                count(*) FILTER (n > 1) AS keys_with_history, CAST(sum(n) AS BIGINT) AS total_versions FROM k""",
 )
 def scd2_integrity(spark, sf_dir):

@@ -97,8 +97,7 @@ PRODUCTS = """products AS (
   SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category, p_retailprice AS unit_price FROM part)"""
 
 TYPED = """typed AS (
-  SELECT order_id, customer_id, product_id, quantity, TRY_CAST(NULLIF(amount, '') AS DOUBLE) AS amount,
-         lower(status) AS status, order_ts, TRY_CAST(left(order_ts, 10) AS DATE) AS order_date
+  SELECT * REPLACE (TRY_CAST(amount AS DOUBLE) AS amount, lower(status) AS status), TRY_CAST(substr(order_ts, 1, 10) AS DATE) AS order_date
   FROM raw_orders)"""
 
 LATEST = "order_ts DESC, status, amount, customer_id, product_id"
@@ -107,11 +106,10 @@ CLEAN = f"""{RAW_ORDERS},
 {CUSTOMERS},
 {PRODUCTS},
 {TYPED},
-ranked AS (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY {LATEST}) AS rn FROM typed),
 clean AS (
-  SELECT order_id, customer_id, product_id, quantity, amount, status, order_ts, order_date FROM ranked
-  WHERE rn = 1 AND status = 'completed' AND amount > 0
-    AND customer_id IN (SELECT customer_id FROM customers) AND product_id IN (SELECT product_id FROM products))"""
+  SELECT t.* FROM typed t SEMI JOIN products USING (product_id) SEMI JOIN customers USING (customer_id)
+  WHERE t.amount > 0 AND t.status = 'completed'
+    AND NOT EXISTS (SELECT 1 FROM typed newer WHERE newer.order_id = t.order_id AND newer.order_ts > t.order_ts))"""
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:

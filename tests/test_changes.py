@@ -90,7 +90,7 @@ def test_scd2_expected_states(merged):
     ]
     assert rows(scd.scd2_as_of(merged, "2026-03-01").filter("business_id = 'B003'"), "city") == [("Denver",)]
     check = scd.scd2_integrity(merged, KEY).first()
-    assert (check.bad_multiple_current, check.bad_end_date, check.keys_with_history) == (0, 0, 2)
+    assert (check.keys_with_two_current, check.bad_end_date, check.keys_with_history) == (0, 0, 2)
 
 
 def test_scd2_two_ways_agree_and_repeat(dim, batch, merged):
