@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import text_to_date
@@ -41,18 +42,17 @@ def read_csv_typed(spark, sf_dir):
     return readers.read_csv_typed(spark, path, schema)
 
 
-@query("read_json_multiline", "SELECT s_suppkey, s_name, s_acctbal FROM supplier")
+@query("read_json_multiline", "SELECT * FROM supplier")
 def read_json_multiline(spark, sf_dir):
     """Suppliers as JSON documents of up to 100,000 objects, one document per file."""
     path = scratch_path(spark, "json")
     rows = table(spark, sf_dir, "supplier")
-    objects = F.collect_list(F.struct("s_suppkey", "s_name", "s_acctbal"))
+    objects = F.collect_list(F.struct(*rows.columns))
     documents = rows.groupBy(F.floor(F.col("s_suppkey") / 100_000).alias("doc")).agg(
         F.to_json(objects, {"pretty": "true"}).alias("value")
     )
     documents.write.partitionBy("doc").text(path)
-    schema = "s_suppkey bigint, s_name string, s_acctbal double"
-    return readers.read_json(spark, path, schema, multi_line=True).select("s_suppkey", "s_name", "s_acctbal")
+    return readers.read_json(spark, path, rows.schema, multi_line=True).select(*rows.columns)
 
 
 @query(
@@ -66,10 +66,10 @@ def read_text_lines(spark, sf_dir):
     return readers.read_text_lines(spark, path).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("read_orc", ORDER_SELECT)
+@query("read_orc", "SELECT * FROM orders")
 def read_orc(spark, sf_dir):
     path = scratch_path(spark, "orc")
-    table(spark, sf_dir, "orders").select(*ORDER_COLUMNS).write.orc(path)
+    table(spark, sf_dir, "orders").write.orc(path)
     return readers.read_orc(spark, path)
 
 
@@ -113,15 +113,24 @@ def parse_log_lines(spark, sf_dir):
 
 @query(
     "write_parquet_modes",
-    """SELECT o_orderpriority, count(*) * 2 AS n FROM orders GROUP BY o_orderpriority""",
+    """SELECT * FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT * FROM orders WHERE o_orderkey % 3 = 0""",
 )
 def write_parquet_modes(spark, sf_dir):
-    """Overwrite, append, then an ignored third write: every row is there twice."""
+    """A first write, refused where something is; that overwritten by one part, another appended, a last one ignored."""
     path = scratch_path(spark, "modes")
-    rows = table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
-    for mode in ("overwrite", "append", "ignore"):
-        writers.write_parquet(rows, path, mode)
-    return spark.read.parquet(path).groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+    rows = table(spark, sf_dir, "orders")
+    writers.write_parquet(rows, path, "errorifexists")
+    try:
+        writers.write_parquet(rows, path, "errorifexists")
+    except AnalysisException as refused:
+        if refused.getCondition() != "PATH_ALREADY_EXISTS":
+            raise
+    else:
+        raise AssertionError("a second write was not refused")
+    writers.write_parquet(rows.filter("o_orderkey % 2 = 0"), path, "overwrite")
+    writers.write_parquet(rows.filter("o_orderkey % 3 = 0"), path, "append")
+    writers.write_parquet(rows, path, "ignore")
+    return spark.read.parquet(path)
 
 
 @query("write_partitioned", "SELECT event_id, user_id, value, CAST(ts AS DATE) AS event_date FROM events")
