@@ -163,7 +163,7 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op1_line_dedup")
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return deduplicated_lines(table(spark, sf_dir, "documents"))
+    return deduplicated_lines(table(spark, sf_dir, "documents"), counts=True)
 
 
 @query("op4_license_scan")

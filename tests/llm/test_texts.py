@@ -307,3 +307,30 @@ def test_bands_suffice_for_every_template():
         least = shared / ((2 << t.level) + n - shared)
         assert (1 - least) ** values_needed(n, t.level) <= 1e-3
     assert jaccard({1}, {1}) == 1
+
+
+def test_alignment_finds_nearly_all_that_line_dedup_deletes(spark, sf_dir):
+    got = deduplicated_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"), counts=True)
+    found = got.selectExpr("sum(removed_lines) r", "sum(aligned_lines) a", "sum(looked_up_lines) l").first()
+    assert found.r == found.a + found.l and found.a >= 0.95 * found.r > 0
+
+
+def test_line_dedup_with_rare_and_frequent_lines(spark):
+    """Passages held by few and by many documents, parts of them in other documents, and odd columns."""
+    rng = random.Random(11)
+    line = [" ".join(text(rng, n)) for n in (12, 15, 18, 22, 45) * 6]
+    rows = []
+    for k in range(120):
+        i = min(rng.randrange(30), rng.randrange(30))
+        own = [" ".join(text(rng, 8)) for _ in range(2)]
+        rows.append((f"d{k:03}", [own[0], *line[i : i + rng.randrange(1, 6)], own[1], *line[i % 7 : i % 7 + 2]]))
+    given = spark.createDataFrame(
+        [(k, "\n".join(t), 1, 2, 3, 4) for k, t in rows], "name string, body string, blocks int, id int, h int, d int"
+    )
+    out = deduplicated_lines(given, "name", "body")
+    assert out.columns == [*given.columns, "removed_lines"]
+    got = {r.name: (r.body, r.blocks, r.id, r.h, r.d) for r in out.collect()}
+    for k, mine in rows:
+        count = [len(x.split()) for x in mine]
+        gone = {j for other, lines in rows if other < k for j in covered(lines, mine, count, 40)}
+        assert got[k] == ("\n".join(x for j, x in enumerate(mine) if j not in gone), 1, 2, 3, 4)
