@@ -8,11 +8,13 @@ that share into the probability of the label 1.
 
 Labels exist for documents only, so training starts with each line labelled as
 its document; later rounds relabel the lines of bad documents which the field
-itself finds good.
+itself finds good. It learns from whole chains of lines that a hash picks from all over
+a document; the curve is fitted on the shares of whole texts.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
@@ -22,16 +24,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import on_workers, slices
+from millrace.llm.common import on_workers, slices, stored
 from millrace.llm.samples import sampled
-from millrace.llm.textarrays import CHUNK_CHARS, codes_of
+from millrace.llm.textarrays import CHUNK_CHARS, U, codes_of, mix
 from millrace.llm.textarrays import words as word_hashes
 
-#: Training documents per label, and lines of a training document at most.
+#: Training documents per label, and chains of a training document at most: a longer one is learned
+#: from the chains with the least hashes, wherever they are in it.
 PER_LABEL = 1500
-TRAIN_LINES = 512
-#: Training cuts long documents into chains of this many lines.
+TRAIN_CHAINS = 8
+#: Training cuts documents into chains of this many lines.
 CHAIN = 64
+#: What a line costs beside its characters, in characters, when work is cut into pieces.
+LINE_COST = 64
 STEPS, ROUNDS, RATE, RIDGE = 120, 2, 0.15, 1e-3
 THRESHOLD = 0.7
 
@@ -51,17 +56,23 @@ def _classes() -> np.ndarray:
     return kind
 
 
-def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features of all lines in a row, the weight of each line, and where each text's
-    lines begin (with the end as last entry). A text has one line at least."""
+def lines_of(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """All lines in a row, whether each is a repeated one of its text, and where each text's lines
+    begin (with the end as last entry). A text has one line at least."""
     split = [t.split("\n") for t in texts]
     bounds = np.zeros(len(texts) + 1, np.int64)
     np.cumsum(np.fromiter(map(len, split), np.int64, len(split)), out=bounds[1:])
-    lines, again = [], []
-    for part in split:
-        seen = Counter(part) if len(part) > 1 else {part[0]: 1}
+    lines, again = [], np.zeros(bounds[-1], bool)
+    for start, part in zip(bounds, split):
+        if len(part) > 1:
+            seen = Counter(part)
+            again[start : start + len(part)] = [x != "" and seen[x] > 1 for x in part]
         lines += part
-        again += [seen[x] > 1 and x != "" for x in part]
+    return lines, again, bounds
+
+
+def _own_features(lines: list[str], again: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Features of each line by itself, and its length."""
     codes, starts = codes_of(lines)
     kind = _classes()[codes]
     line = np.repeat(np.arange(len(lines)), np.diff(starts))
@@ -84,11 +95,34 @@ def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
             np.array(again, float), (words < 4).astype(float), (length == 0).astype(float), stutter * 2,
         ]
     )
-    before, after = np.zeros_like(own), np.zeros_like(own)
-    before[1:], after[:-1] = own[:-1], own[1:]
-    before[bounds[:-1]] = 0  # a missing neighbour also lacks the constant feature
-    after[bounds[1:] - 1] = 0
-    return np.hstack([own, before, after]), length + 1, bounds
+    return own, length
+
+
+def line_features(lines: list[str], again: np.ndarray, bounds: np.ndarray, s: int, e: int) -> tuple[np.ndarray, np.ndarray]:
+    """Features of the lines from ``s`` to ``e``, neighbours included, and the weight of each."""
+    left, right = max(s - 1, 0), min(e + 1, len(lines))
+    own, length = _own_features(lines[left:right], again[left:right])
+    mine = own[s - left : e - left]
+    before, after = np.zeros_like(mine), np.zeros_like(mine)
+    before[int(s == left) :] = own[: e - 1 - left]
+    after[: right - 1 - s] = own[s + 1 - left :]
+    # A missing neighbour also lacks the constant feature.
+    before[np.isin(np.arange(s, e), bounds[:-1])] = 0
+    after[np.isin(np.arange(s + 1, e + 1), bounds[1:])] = 0
+    return np.hstack([mine, before, after]), length[s - left : e - left] + 1
+
+
+def emissions(texts: list[str], w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Score and weight of each line, and where each text's lines begin. Features are worked out a
+    piece at a time, so a line costs a few numbers of memory however many there are."""
+    lines, again, bounds = lines_of(texts)
+    cost = np.cumsum(np.fromiter(map(len, lines), np.int64, len(lines)) + LINE_COST)
+    cuts = [0, *(np.flatnonzero(np.diff(cost // CHUNK_CHARS)) + 1), len(lines)]
+    emit, weight = np.empty(len(lines)), np.empty(len(lines))
+    for s, e in zip(cuts, cuts[1:]):
+        x, weight[s:e] = line_features(lines, again, bounds, s, e)
+        emit[s:e] = x @ w
+    return emit, weight, bounds
 
 
 def _chains(bounds: np.ndarray, most: int | None = None) -> list[np.ndarray]:
@@ -164,14 +198,13 @@ def _train(x: np.ndarray, y: np.ndarray, weight: np.ndarray, chains: list[np.nda
         move += change[-4:].reshape(2, 2)
 
 
-def good_share(x: np.ndarray, weight: np.ndarray, bounds: np.ndarray, model: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Share of good text of each document, and the marginal of each line."""
-    emit, good = x @ model["w"], np.zeros(len(x))
+def goodness(emit: np.ndarray, bounds: np.ndarray, move: np.ndarray) -> np.ndarray:
+    """Marginal of each line, for chains of lines that begin at ``bounds``."""
+    good = np.zeros(len(emit))
     for at in _chains(bounds):
-        odds, _, _ = marginals(emit, at, model["move"])
+        odds, _, _ = marginals(emit, at, move)
         good[at[at >= 0]] = _sigmoid(odds[at >= 0])
-    share = np.add.reduceat(good * weight, bounds[:-1]) / np.add.reduceat(weight, bounds[:-1])
-    return share, good
+    return good
 
 
 def _calibrate(share: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -185,17 +218,32 @@ def _calibrate(share: np.ndarray, y: np.ndarray) -> np.ndarray:
     return c
 
 
-def _features_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _picked(n: int, text: str) -> list[tuple[int, int]]:
+    """Line ranges to learn from in a text of ``n`` lines: at most ``TRAIN_CHAINS`` chains by hash,
+    those in a row as one."""
+    chains = np.arange(-(-n // CHAIN))
+    if len(chains) > TRAIN_CHAINS:
+        seed = U(zlib.crc32(text.encode("utf-8", "surrogatepass")))
+        chains = np.sort(np.argsort(mix(chains.astype(U) + (seed << U(32))), kind="stable")[:TRAIN_CHAINS])
+    parts = np.split(chains, np.flatnonzero(np.diff(chains) > 1) + 1)
+    return [(int(p[0]) * CHAIN, min(n, (int(p[-1]) + 1) * CHAIN)) for p in parts]
+
+
+def _training_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for text, label in zip(b.column("body").to_pylist(), b.column("label").to_pylist()):
-            x, weight, _ = line_features([text])
+        for i, text in enumerate(b.column("body").to_pylist()):
+            lines, again, bounds = lines_of([text])
+            ranges = _picked(len(lines), text)
+            xs, weights = zip(*(line_features(lines, again, bounds, s, e) for s, e in ranges))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([x[:TRAIN_LINES].astype(np.float32).tobytes()]),
-                    pa.array([weight[:TRAIN_LINES].tolist()], pa.list_(pa.float64())),
-                    pa.array([label], pa.int64()),
+                    b.column("k").slice(i, 1),
+                    pa.array([np.vstack(xs).astype(np.float32).tobytes()]),
+                    pa.array([np.concatenate(weights).tolist()], pa.list_(pa.float64())),
+                    pa.array([[e - s for s, e in ranges]], pa.list_(pa.int64())),
+                    b.column("label").slice(i, 1),
                 ],
-                names=["x", "weight", "label"],
+                names=["k", "x", "weight", "ranges", "label"],
             )
 
 
@@ -204,44 +252,52 @@ def fit(
     per_label: int = PER_LABEL,
 ) -> dict:
     """Train on a bounded sample: ``per_label`` documents of each label, by hash of the
-    key, with their first ``TRAIN_LINES`` lines. A key with several labels counts with
-    the least. Features of the sample, not texts, go to the driver. Without training
-    rows every score is one half."""
+    key, with ``TRAIN_CHAINS`` chains of ``CHAIN`` lines each, by hash from the whole text. A key
+    with several labels counts with the least, and one with several texts too. Features of the
+    sample, not texts, go to the driver; the curve comes from a pass over the sample's whole texts.
+    Without training rows every score is one half."""
     on_workers(docs)
+    name = F.col(key).cast("string")
     one = labels.filter(F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(key).agg(F.min(label).alias("label"))
-    picked = one.filter(sampled(one, key, "label", per_label))
+    picked = one.filter(sampled(one, key, "label", per_label)).select(name.alias("k"), F.col("label").cast("long").alias("label"))
+    given = docs.select(name.alias("k"), F.coalesce(F.col(text), F.lit("")).alias("body"))
     # At most 2 * per_label rows.
-    joined = docs.join(F.broadcast(picked.select(F.col(key).alias("_k"), F.col("label").cast("long").alias("_label"))), F.col(key) == F.col("_k"))
-    given = joined.select(F.coalesce(F.col(text), F.lit("")).alias("body"), F.col("_label").alias("label"))
-    rows = given.mapInArrow(_features_of, "x binary, weight array<double>, label long").toPandas()
+    given = given.join(F.broadcast(picked), "k").groupBy("k", "label").agg(F.min("body").alias("body"))
+    given = stored(given, "labelled")
+    kind = "k string, x binary, weight array<double>, ranges array<long>, label long"
+    rows = given.mapInArrow(_training_lines, kind).toPandas().sort_values("k")
     model = {"w": np.zeros(3 * OWN), "move": np.zeros((2, 2)), "curve": np.zeros(2)}
     if not len(rows):
         return model
     parts = [np.frombuffer(b, np.float32).reshape(-1, 3 * OWN) for b in rows["x"]]
     x, line_weight = np.vstack(parts).astype(float), np.concatenate(rows["weight"].to_list())
     n = np.array([len(p) for p in parts])
-    bounds = np.concatenate([[0], np.cumsum(n)])
+    first = np.concatenate([[0], np.cumsum(n)[:-1]])
+    bounds = np.concatenate([[0], np.cumsum(np.concatenate(rows["ranges"].to_list()))])
     doc_y = rows["label"].to_numpy().astype(float)
     y = np.repeat(doc_y, n)
     # Each label has half of the weight, each document of a label the same, each line by its length.
     doc_weight = np.where(doc_y == 1, 0.5 / max(1, (doc_y == 1).sum()), 0.5 / max(1, (doc_y == 0).sum()))
-    weight = line_weight * np.repeat(doc_weight / np.add.reduceat(line_weight, bounds[:-1]), n)
+    weight = line_weight * np.repeat(doc_weight / np.add.reduceat(line_weight, first), n)
     chains = _chains(bounds, CHAIN)
     for turn in range(ROUNDS):
         _train(x, y, weight, chains, model)
-        share, good = good_share(x, line_weight, bounds, model)
         if turn < ROUNDS - 1:
+            good = goodness(x @ model["w"], bounds, model["move"])
             y = np.where(np.repeat(doc_y, n) == 1, 1.0, (good > 0.9).astype(float))
-    model["curve"] = _calibrate(share, doc_y)
+    shares = score(given, model, "k", "body").select("k", "good_share").join(given.select("k", "label"), "k").toPandas().sort_values("k")
+    model["curve"] = _calibrate(shares["good_share"].to_numpy(), shares["label"].to_numpy().astype(float))
     return model
 
 
 def _scored(texts: list[str], model: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Probability of the label 1, share of good text and number of bad lines, a chunk at a time."""
     out = []
-    for i, j in slices(np.fromiter(map(len, texts), np.int64, len(texts)), CHUNK_CHARS):
-        x, weight, bounds = line_features(texts[i:j])
-        share, good = good_share(x, weight, bounds, model)
+    cost = np.fromiter((len(t) + LINE_COST * (t.count("\n") + 1) for t in texts), np.int64, len(texts))
+    for i, j in slices(cost, CHUNK_CHARS):
+        emit, weight, bounds = emissions(texts[i:j], model["w"])
+        good = goodness(emit, bounds, model["move"])
+        share = np.add.reduceat(good * weight, bounds[:-1]) / np.add.reduceat(weight, bounds[:-1])
         p = _sigmoid(model["curve"][0] + model["curve"][1] * np.log((share + 0.01) / (1.01 - share)))
         out.append((p, share, np.add.reduceat((good < 0.5).astype(np.int64), bounds[:-1])))
     if not out:
@@ -255,7 +311,8 @@ def score(
     """``key, held_out, score, predicted, good_share, bad_lines`` for every row.
 
     A NULL or empty text is one empty line. Repeated rows each get a row; other
-    columns are ignored; an empty table gives an empty result.
+    columns are ignored; an empty table gives an empty result. Of a very long text
+    one worker holds the lines and a few numbers for each.
     """
     shared = on_workers(docs).sparkContext.broadcast(model)
 

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
+import os
 import random
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -280,3 +283,49 @@ def test_quality_held_out(spark, sf_dir):
 
 def test_components_helper():
     assert classes([1, 2, 3], [(3, 2)]) == {1: 1, 2: 2, 3: 2}
+
+
+def test_quality_learns_from_text_after_many_lines(spark):
+    """Bad documents that begin with 600 good lines, as all good ones do."""
+    rng = random.Random(3)
+    names = "the river runs past old houses and people walk along its green banks every quiet morning".split()
+
+    def good(n):
+        return [" ".join(rng.choices(names, k=rng.randrange(8, 14))).capitalize() + "." for _ in range(n)]
+
+    def bad(n):
+        return [f"{rng.randrange(10**6)} | CLICK!!! | {rng.randrange(10**6)} $$$" for _ in range(n)]
+
+    rows = [(i, "\n".join(good(600) + (bad(600) if i % 2 else good(600)))) for i in range(40)]
+    docs = docs_of(spark, [*rows, (0, "x"), (1, "zzz")])
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(30)], "doc_id long, quality int")
+    model = line_quality.fit(docs, labels)
+    got = {r.doc_id: r for r in line_quality.score(docs.filter("doc_id > 1"), model).collect()}
+    assert len(got) == 38 and all(r.predicted == 1 - k % 2 for k, r in got.items())
+    assert all(550 <= r.bad_lines <= 650 if k % 2 else r.bad_lines < 50 for k, r in got.items())
+
+
+def test_quality_features_in_pieces(monkeypatch):
+    texts = ["a b c\nB B!\n\n x|y 12\na b c", "", "\n", "one line", "tail\n"] * 5
+    w = np.random.default_rng(1).normal(size=3 * line_quality.OWN)
+    whole = line_quality.emissions(texts, w)
+    monkeypatch.setattr(line_quality, "CHUNK_CHARS", 150)
+    for a, b in zip(whole, line_quality.emissions(texts, w)):
+        assert np.allclose(a, b)
+    ranges = line_quality._picked(64 * 20 + 5, "text")
+    assert sum(e - s for s, e in ranges) <= 8 * 64 and line_quality._picked(100, "t") == [(0, 100)]
+
+
+def test_quality_of_a_million_lines_in_bounded_memory():
+    code = (
+        "import resource, numpy as np\n"
+        "from millrace.llm import line_quality as q\n"
+        "m = {'w': np.ones(45) / 9, 'move': np.eye(2), 'curve': np.array([0.0, 1.0])}\n"
+        "before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss\n"
+        "p, _, _ = q._scored(['some words 12\\n' * 1_000_000], m)\n"
+        "assert 0 <= p[0] <= 1\n"
+        "print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True)
+    assert int(done.stdout) < 400
