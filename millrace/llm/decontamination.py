@@ -129,5 +129,6 @@ def leaks(
 def without_leaks(docs: DataFrame, items: DataFrame, text: str = "text", **names: str) -> DataFrame:
     """The rows of ``docs`` whose text holds no item, with all their columns."""
     found = find_items(docs, items, text, **names)
-    found = stored(found.select(F.unhex("content").alias("_content")).distinct(), "leaks")
-    return docs.join(found, F.unhex(content(F.col(text))) == F.col("_content"), "left_anti")
+    found = stored(found.select(F.unhex("content").alias("content")).distinct(), "leaks")
+    rows = docs.select(F.struct("*").alias("d"), F.unhex(content(F.col(text))).alias("content"))
+    return rows.join(found, "content", "left_anti").select("d.*")

@@ -251,8 +251,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each class, with all columns; rows with a NULL key stay as they are."""
-    kept = near_duplicates(docs, key, text).filter("keep").select(F.col(key).alias("_kept")).distinct()
-    rows = docs.join(stored(kept, "kept").hint("merge"), F.col(key) == F.col("_kept"), "left_semi")
-    same = Window.partitionBy(key).orderBy(F.xxhash64(F.col(text)))
-    rows = rows.withColumn("_n", F.row_number().over(same)).filter(F.col("_n") == 1).drop("_n")
-    return rows.unionByName(docs.filter(F.col(key).isNull()))
+    kept = stored(near_duplicates(docs, key, text).filter("keep").select(F.col(key).alias("k")).distinct(), "kept")
+    given = docs.select(F.struct("*").alias("d"), F.col(key).alias("k"), F.xxhash64(F.col(text)).alias("h"))
+    rows = given.join(kept.hint("merge"), "k", "left_semi")
+    first = rows.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("h"))).filter(F.col("n") == 1)
+    return first.select("d.*").unionByName(docs.filter(F.col(key).isNull()))
