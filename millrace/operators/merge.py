@@ -2,29 +2,46 @@
 
 Each operator returns the table after the change; :mod:`millrace.sources.writers`
 publishes it. A repeated source key would make a merge ambiguous, so the source
-is reduced to its latest row per key first.
+is reduced to its latest row per key first. A NULL in a key equals a NULL.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.cleansing import dedup_latest
 from millrace.operators.joins import broadcast_if_small
 
 
+def _same_key(keys: Sequence[str]) -> Column:
+    """Rows of ``t`` and ``s`` have the same key."""
+    return reduce(and_, [F.col(f"t.`{k}`").eqNullSafe(F.col(f"s.`{k}`")) for k in keys])
+
+
 def _one_per_key(source: DataFrame, keys: Sequence[str], latest: Sequence[Column] | None) -> DataFrame:
-    """Without an order, equal rows are one row and different rows of one key are an error."""
+    """Without an order, equal rows are one row and different rows of one key are an error:
+    the least and the greatest row of each key, from one aggregate, tell them apart."""
     if latest is not None:
         return dedup_latest(source, keys, latest)
-    rows = source.distinct()
-    number = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(1)))
-    told = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
+    others = [c for c in source.columns if c not in keys]
+    if not others:
+        return source.distinct()
+    row = F.struct(*[F.col(f"`{c}`") for c in others])
+    ends = source.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.struct(F.min(row).alias("low"), F.max(row).alias("high")).alias("_ends"))
+    told = F.concat_ws(", ", *[F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("NULL")) for k in keys])
     fault = F.raise_error(F.concat(F.lit("several source rows for key "), told, F.lit("; say which is the latest")))
-    return rows.withColumn("_n", number).filter(F.when(F.col("_n") > 1, fault.cast("boolean")).otherwise(True)).drop("_n")
+    one = ends.filter(F.when(F.col("_ends.low").eqNullSafe(F.col("_ends.high")), True).otherwise(fault.cast("boolean")))
+    return one.select(*[F.col(f"`{k}`") for k in keys], "_ends.low.*").select(*[F.col(f"`{c}`") for c in source.columns])
+
+
+def _without_keys_of(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    replaced = broadcast_if_small(source.select(*keys).distinct())
+    return target.alias("t").join(replaced.alias("s"), _same_key(keys), "left_anti").select(*target.columns)
 
 
 def merge_upsert(
@@ -36,14 +53,12 @@ def merge_upsert(
     not shuffle a large target.
     """
     rows = _one_per_key(source, keys, latest).select(*target.columns)
-    replaced = broadcast_if_small(source.select(*keys).distinct())
-    return target.join(replaced, list(keys), "left_anti").select(*target.columns).unionByName(rows)
+    return _without_keys_of(target, source, keys).unionByName(rows)
 
 
 def staging_delete_insert(target: DataFrame, staging: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Delete the keys present in staging, then insert all staging rows."""
-    kept = target.join(broadcast_if_small(staging.select(*keys).distinct()), list(keys), "left_anti")
-    return kept.select(*target.columns).unionByName(staging.select(*target.columns))
+    return _without_keys_of(target, staging, keys).unionByName(staging.select(*target.columns))
 
 
 def merge_with_delete(
@@ -63,7 +78,7 @@ def merge_with_delete(
     others = [c for c in target.columns if c not in keys]
     old = target.select(*keys, F.struct(*others).alias("_t"))
     new = rows.select(*keys, F.struct(op, *others).alias("_s"))
-    merged = old.join(new, list(keys), "full").filter(~F.coalesce(F.col(f"_s.{op}") == "D", F.lit(False)))
+    merged = old.alias("t").join(new.alias("s"), _same_key(keys), "full").filter(~F.coalesce(F.col(f"_s.{op}") == "D", F.lit(False)))
     inserted, untouched = F.col("_t").isNull(), F.col("_s").isNull()
     picked = [
         F.when(inserted, F.col(f"_s.{c}")).when(untouched, F.col(f"_t.{c}")).otherwise(
@@ -71,4 +86,5 @@ def merge_with_delete(
         ).alias(c)
         for c in others
     ]
-    return merged.select(*keys, *picked).select(*target.columns)
+    key = [F.when(inserted, F.col(f"s.`{k}`")).otherwise(F.col(f"t.`{k}`")).alias(k) for k in keys]
+    return merged.select(*key, *picked).select(*target.columns)
