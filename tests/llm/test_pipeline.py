@@ -15,7 +15,7 @@ from tests.compare import connect, differences
 from tests.llm.helpers import near_classes, shingles
 from tests.llm.test_models import check_packing
 
-OPERATORS = {f"op{n}" for n in range(1, 11)}
+OPERATORS = {f"op{n}" for n in range(1, 14)}
 
 
 def test_one_query_for_each_operator_and_the_pipeline():
