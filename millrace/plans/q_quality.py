@@ -11,6 +11,7 @@ from millrace.plans.models import Model, run_models
 from millrace.plans.q_rows import clean
 from millrace.plans.registry import query, table
 from millrace.session import scratch_name, scratch_path
+from millrace.sources import writers
 
 
 def check_sql(name: str, count: str) -> str:
@@ -266,10 +267,15 @@ def mask_tokens(spark, sf_dir):
        AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)""",
 )
 def retention_purge(spark, sf_dir):
-    """Old orders go; so do those of customers in debt, standing in for erasure requests."""
+    """Old orders go, by whole folders of years; so do those of customers in debt, standing in for erasure requests."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     requests = table(spark, sf_dir, "customer").filter("c_acctbal < 0").select(F.col("c_custkey").alias("o_custkey"))
-    return security.erase_subjects(security.retention_purge(orders, "o_orderdate", "1997-01-01"), requests, "o_custkey")
+    path = scratch_path(spark, "orders")
+    writers.write_partitioned(orders.withColumn("year", F.year("o_orderdate")), path, ["year"])
+    inside = F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp")
+    writers.purge_partitions(spark, path, "year", "1997", inside, scratch_path(spark, "orders-kept"))
+    kept = security.retention_purge(spark.read.parquet(path).drop("year"), "o_orderdate", "1997-01-01")
+    return security.erase_subjects(kept, requests, "o_custkey")
 
 
 @query(

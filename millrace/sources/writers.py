@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -32,6 +33,33 @@ def publish_partitions(df: DataFrame, staging: str, path: str, columns: Sequence
     overwrite_partitions(built, path, columns)
 
 
+def purge_partitions(spark: SparkSession, path: str, column: str, first_kept: str, inside: Column, staging: str) -> list[str]:
+    """Retention on a partitioned table: folders of ``column`` before ``first_kept`` go without
+    being read, the folder of ``first_kept`` keeps the rows for which ``inside`` is true, and later
+    folders are not touched. Returns the values that went.
+
+    Values are compared as text, so they need a sortable form, such as a year or an ISO date. Rows
+    without a value (Hive's default partition) have no age and stay. A rerun changes nothing.
+    """
+    rows = spark.read.parquet(path)
+    edge = rows.filter(F.col(column).cast("string") == first_kept)
+    kept = edge.filter(F.coalesce(inside, F.lit(False)))
+    before, after = edge.count(), kept.count()
+    if 0 < after < before:
+        publish_partitions(kept, staging, path, [column])
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    gone = []
+    for folder in files.listStatus(where):
+        name, _, value = folder.getPath().getName().partition("=")
+        if name != column or value == "__HIVE_DEFAULT_PARTITION__":
+            continue
+        if value < first_kept or (value == first_kept and before and not after):
+            files.delete(folder.getPath(), True)
+            gone.append(value)
+    return sorted(gone)
+
+
 def export_query(df: DataFrame, path: str, fmt: str = "csv", mode: str = "errorifexists") -> None:
     writer = df.write.mode(mode)
     if fmt == "csv":
