@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.windows import sessionize
+from millrace.plans.catalog import QUERIES
 from millrace.streaming import streams as S
 from tests.conftest import rows, same_rows
 
@@ -146,3 +149,23 @@ def test_routes_and_hot_cold(spark, feed, tmp_path):
     S.run_to_end(cold, str(tmp_path / "cpc"))
     assert spark.read.parquet(str(tmp_path / "hc/cold")).filter("event_hour = 0").count() == 80
     assert S.read_change_log(spark, str(tmp_path / "hc/hot"), live.schema, ["window_start", "device"]).agg(F.sum("n")).first()[0] == 80
+
+
+def test_alerts_run_in_a_session_with_another_state_store(spark, tmp_path):
+    """A plain session keeps state in a store without column families; the query brings the one that it needs."""
+    day = datetime(2024, 1, 1)
+    rows = [(1, day, 7, 60.0), (2, day + timedelta(hours=1), 7, 70.0), (3, day + timedelta(days=20), 7, 80.0), (4, day + timedelta(days=28), 8, 1.0)]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame([(i, t, u, "x", v, None) for i, t, u, v in rows], schema).write.parquet(f"{tmp_path}/events.parquet")
+    store, parts = "spark.sql.streaming.stateStore.providerClass", spark.conf.get("spark.sql.shuffle.partitions")
+    before = spark.conf.get(store)
+    plain = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    try:
+        spark.conf.set(store, plain)
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+        found = QUERIES["stream_threshold_alert"](spark, str(tmp_path)).select("event_id").collect()
+        assert spark.conf.get(store) == plain
+    finally:
+        spark.conf.set(store, before)
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert sorted(r.event_id for r in found) == [1, 3]
