@@ -165,6 +165,19 @@ def test_neighbours_recall(spark, sf_dir):
     assert sum(len(got[q] & set(w)) for q, w in want.items()) / (5 * len(want)) >= 0.9
 
 
+def test_neighbours_are_found_where_pivots_tell_little(spark):
+    """Many dimensions without structure, and vectors that are nearly at right angles to one another."""
+    rng = np.random.default_rng(8)
+    sparse = (rng.random((600, 300)) < 0.02) * rng.random((600, 300))
+    for found in (rng.normal(size=(600, 500)), sparse + 1e-9 * rng.random((600, 300))):
+        vectors = dict(enumerate(found))
+        table = spark.createDataFrame([(i, v.tolist()) for i, v in vectors.items()], "vec_id long, embedding array<double>")
+        got: dict = {}
+        for r in nearest_neighbours(table, every=20).orderBy("query_id", "rank").collect():
+            got.setdefault(r.query_id, []).append(r.vec_id)
+        assert got == brute_neighbours(vectors, 20, 5)
+
+
 def test_url_rules_and_aliases(spark):
     rules = (Rule("block", "bad.com"), Rule("allow", "bad.com", "/ok/"), Rule("allow", "fine.org"))
     canonical = '<head><link href="http://bad.com/x/" rel="canonical"></head>'
