@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,11 @@ def _digest(key: str, *parts: Column) -> Column:
     return F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("long")
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it and in whatever loop."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _permuted(digits: Column, key: str, back: bool) -> Column:
     """A Feistel network over the two halves of a string of digits; each round adds a digest of one half to the other, modulo a
     power of ten, so it can be undone and never leaves the digits."""
@@ -43,18 +50,24 @@ def _permuted(digits: Column, key: str, back: bool) -> Column:
 def digit_token(value: Column, key: str, back: bool = False) -> Column:
     """The text with its digits permuted under ``key``; all other characters stay where they are. Different values of one
     format have different tokens; ``back`` turns a token into its value. NULL for more than ``MOST_DIGITS`` digits."""
-    digits = F.regexp_replace(value, "[^0-9]", "")
-    new = _permuted(digits, key, back)
-    start = F.struct(F.lit("").alias("text"), F.lit(1).alias("next"))
-
-    def put(s: Column, c: Column) -> Column:
-        is_digit = c.between("0", "9")
-        text = F.concat(s.text, F.when(is_digit, F.substring(new, s.next, F.lit(1))).otherwise(c))
-        return F.struct(text.alias("text"), (s.next + is_digit.cast("int")).alias("next"))
-
-    plain = F.length(digits) == F.length(value)
-    letters = F.filter(F.split(value, ""), lambda c: c != "")
-    return F.when(plain, new).otherwise(F.aggregate(letters, start, put, lambda s: s.text))
+
+    def put_back(text: Column, new: Column) -> Column:
+        """The new digits in the places of the old ones."""
+        start = F.struct(F.lit("").alias("text"), F.lit(1).alias("next"))
+
+        def put(s: Column, c: Column) -> Column:
+            is_digit = c.between("0", "9")
+            text = F.concat(s.text, F.when(is_digit, F.substring(new, s.next, F.lit(1))).otherwise(c))
+            return F.struct(text.alias("text"), (s.next + is_digit.cast("int")).alias("next"))
+
+        letters = F.filter(F.split(text, ""), lambda c: c != "")
+        return F.aggregate(letters, start, put, lambda s: s.text)
+
+    def changed(text: Column, digits: Column) -> Column:
+        plain = F.length(digits) == F.length(text)
+        return _once(_permuted(digits, key, back), lambda new: F.when(plain, new).otherwise(put_back(text, new)))
+
+    return _once(value, lambda text: _once(F.regexp_replace(text, "[^0-9]", ""), lambda digits: changed(text, digits)))
 
 
 def add_tokens(known: DataFrame | None, values: DataFrame, key: str, length: int = 12) -> DataFrame:

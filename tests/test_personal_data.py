@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import security, tokens
+from millrace.operators import layout, security, tokens
 from millrace.streaming import late
 from millrace.streaming import streams as S
 from tests.conftest import rows
@@ -34,6 +34,12 @@ def test_digit_tokens_are_a_permutation(spark, digits):
     assert found.distinct().count() == 10**digits and found.filter(F.length("t") != digits).isEmpty()
 
 
+def test_digits_are_permuted_once_for_a_value(spark):
+    """Not once more for every character: the plan names the digest of a round and that of a single digit, no more."""
+    plan = layout.plan_text(spark.range(1).select(tokens.digit_token(F.col("id").cast("string"), "k").alias("t")), "simple")
+    assert plan.count("sha2(") == 2
+
+
 def test_token_table_has_no_collisions_and_keeps_known_tokens(spark):
     first = spark.createDataFrame([(f"v{i}",) for i in range(150)] * 2 + [(None,)], "value string")
     known = tokens.add_tokens(None, first, "k", length=2)  # 256 tokens: most attempts meet a taken one
