@@ -15,7 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.cleansing import dedup_latest
-from millrace.operators.joins import broadcast_if_small
+from millrace.operators.joins import BROADCAST_LIMIT_BYTES, estimated_bytes
+
+#: Keys of a batch that are sent to every task, at most.
+BROADCAST_KEYS = 500_000
 
 
 def _same_key(keys: Sequence[str]) -> Column:
@@ -40,7 +43,11 @@ def _one_per_key(source: DataFrame, keys: Sequence[str], latest: Sequence[Column
 
 
 def _without_keys_of(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    replaced = broadcast_if_small(source.select(*keys).distinct())
+    replaced = source.select(*keys).distinct()
+    if estimated_bytes(replaced) <= BROADCAST_LIMIT_BYTES:
+        # The estimate is of bytes in files; keys take many times as much in memory, so they are counted.
+        few = replaced.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+        replaced = F.broadcast(replaced) if few else replaced.hint("merge")
     return target.alias("t").join(replaced.alias("s"), _same_key(keys), "left_anti").select(*target.columns)
 
 
@@ -49,8 +56,8 @@ def merge_upsert(
 ) -> DataFrame:
     """Source rows replace target rows of the same key; new keys are added.
 
-    The keys of a batch that is estimated small are broadcast, so that it does
-    not shuffle a large target.
+    The keys of a batch that is estimated small, and is by a count of them, are
+    broadcast, so that it does not shuffle a large target.
     """
     rows = _one_per_key(source, keys, latest).select(*target.columns)
     return _without_keys_of(target, source, keys).unionByName(rows)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
+from millrace.operators.layout import plan_counts
 from millrace.operators.merge import merge_upsert, merge_with_delete, staging_delete_insert
 from tests.conftest import rows
 
@@ -33,3 +35,12 @@ def test_the_source_is_shuffled_once(spark):
     target = spark.range(10).selectExpr("cast(id as int) a", "cast(id as int) v")
     one = merge_upsert(target, source, ["a"]).filter("v > 0")._jdf.queryExecution().optimizedPlan().toString()
     assert one.count("Window") == 0 and one.count("Aggregate") == 2
+
+
+def test_keys_of_a_large_batch_are_not_broadcast(spark):
+    """Its files are estimated small, but its keys would fill a table of hundreds of megabytes in every task."""
+    target = spark.range(1_000_000).withColumn("v", F.lit(1))
+    for n, broadcasts in ((600_000, 0), (1000, 1)):
+        merged = merge_upsert(target, spark.range(n).withColumn("v", F.lit(2)), ["id"], [F.desc("v")])
+        assert plan_counts(merged)["BroadcastHashJoin"] == broadcasts
+        assert merged.count() == 1_000_000 and merged.filter("v = 2").count() == n
