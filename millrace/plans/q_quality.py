@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from millrace.functions import columns as C
@@ -295,14 +297,20 @@ def _lines(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").withColumn("l_discount", F.col("l_discount") + 0.0)
 
 
+#: Rows of the input for each large file of a folder.
+ROWS_PER_FILE = 8_000_000
+
+
 @query("compact_files", LINES)
 def compact_files(spark, sf_dir):
-    """One file of the target size and many small ones in each flag's folder: the small ones are merged in place."""
+    """Files of the target size, one for a small table, and many small ones in each flag's folder: the small ones are merged
+    in place. Files grow in number with the table, not in size."""
     path = scratch_path(spark, "files")
     lines = _lines(spark, sf_dir)
-    layout.merge_partitions(lines.filter("l_partkey % 2 = 0"), 1).write.partitionBy("l_returnflag").parquet(path)
+    large = max(1, math.ceil(lines.count() / ROWS_PER_FILE))
+    layout.merge_partitions(lines.filter("l_partkey % 2 = 0"), large).write.partitionBy("l_returnflag").parquet(path)
     target = compaction.data_files(spark, path).agg(F.min("length")).first()[0]
-    layout.spread_partitions(lines.filter("l_partkey % 2 = 1"), 32).write.mode("append").partitionBy("l_returnflag").parquet(path)
+    layout.spread_partitions(lines.filter("l_partkey % 2 = 1"), 32 * large).write.mode("append").partitionBy("l_returnflag").parquet(path)
     compaction.compact_small_files(spark, path, ["l_returnflag"], target)
     return layout.read_as_written(spark, path)
 

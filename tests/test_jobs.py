@@ -9,6 +9,7 @@ from millrace.functions import collections as L
 from millrace.functions import columns as C
 from millrace.functions import udfs
 from millrace.operators import entities, joins, layout, quality, security, windows
+from millrace.plans import q_quality
 from millrace.plans.models import Model, build_order, lineage_report, run_models
 from millrace.session import checkpoint_root, scratch_path
 from tests.conftest import rows, same_rows
@@ -190,3 +191,14 @@ def test_models_run_in_order_and_stop_on_failure(spark, tmp_path):
 def test_scratch_paths_are_fresh(spark):
     assert scratch_path(spark, "x").startswith(checkpoint_root(spark))
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_large_files_grow_in_number_with_the_table(spark, tmp_path, monkeypatch):
+    columns = ["CAST(id AS DOUBLE) AS l_discount", "id AS l_partkey", "CASE WHEN id % 4 < 2 THEN 'N' ELSE 'R' END AS l_returnflag"]
+    lines = spark.range(0, 1000, 1, 4).selectExpr("id", *columns)
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    large, real = [], q_quality.layout.merge_partitions
+    monkeypatch.setattr(q_quality.layout, "merge_partitions", lambda df, n: large.append(n) or real(df, n))
+    monkeypatch.setattr(q_quality, "ROWS_PER_FILE", 400, raising=False)
+    found = q_quality.compact_files(spark, str(tmp_path))
+    assert large == [3] and same_rows(lines, found)
