@@ -38,7 +38,8 @@ def connected_records(records: DataFrame, record_id: str, edges: DataFrame) -> D
     checkpoint_root(records.sparkSession)
     edges = edges.distinct()
     shared = edges.groupBy("_node").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_low")).filter("_n > 1")
-    edges = edges.join(shared.select("_node", "_low"), "_node").checkpoint()
+    # Edges are exploded rows, which Spark believes to be fewer: without the hint it may send them all to the driver.
+    edges = edges.join(shared.select("_node", "_low").hint("merge"), "_node").checkpoint()
 
     labels = edges.groupBy("_id").agg(F.min("_low").alias("_label")).checkpoint()
     links = edges.select("_id", "_node")

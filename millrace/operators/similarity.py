@@ -19,6 +19,14 @@ from millrace.operators.entities import connected_records, survivorship
 from millrace.session import checkpoint_root
 
 GRAM = 2
+#: Different grams whose counts are sent to every task.
+BROADCAST_GRAMS = 100_000
+
+
+def _shuffled(df: DataFrame) -> DataFrame:
+    """For a join with or of exploded rows: Spark's estimate leaves out how often a row is repeated, so it would send a table
+    to the driver that is far larger than it believes."""
+    return df.hint("merge")
 
 
 def normal_name(name: Column) -> Column:
@@ -32,7 +40,8 @@ def _rare_grams(names: DataFrame, edits: int) -> DataFrame:
     places = F.sequence(F.lit(1), F.length("name") - GRAM + 1)
     grams = F.transform(places, lambda i: F.struct(F.substring("name", i, F.lit(GRAM)).alias("gram"), i.alias("at")))
     rows = explode_rows(names.filter(F.length("name") >= GRAM), grams, "g", "name").select("name", "g.*")
-    often = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("often"))
+    often = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("often")).checkpoint()
+    often = F.broadcast(often) if often.count() <= BROADCAST_GRAMS else _shuffled(often)
     ranked = F.array_sort(F.collect_list(F.struct("often", "gram", "at"))).alias("ranked")
     by_name = rows.join(often, "gram").groupBy("name").agg(ranked)
     last = F.get("ranked", F.least(F.lit(edits * GRAM), F.size("ranked") - 1))
@@ -64,10 +73,10 @@ def similar_names(names: DataFrame, edits: int = 2) -> DataFrame:
     grams = _rare_grams(names, edits).checkpoint()
     near = lambda c: F.explode(F.sequence(F.col(c) - edits, F.col(c) + edits)).alias(c)
     around = grams.select(F.col("name").alias("b"), "gram", near("size"), "at").select("b", "gram", "size", near("at"))
-    by_gram = grams.withColumnRenamed("name", "a").join(around, ["gram", "size", "at"]).filter("a < b").select("a", "b")
+    by_gram = grams.withColumnRenamed("name", "a").join(_shuffled(around), ["gram", "size", "at"]).filter("a < b").select("a", "b")
     short = names.filter(F.length("name") <= edits * GRAM + GRAM - 1 + edits)
     left = explode_rows(short, _without_letters(F.col("name"), edits), "left", "name")
-    by_letters = left.withColumnRenamed("name", "a").join(left.withColumnRenamed("name", "b"), "left").filter("a < b")
+    by_letters = left.withColumnRenamed("name", "a").join(_shuffled(left.withColumnRenamed("name", "b")), "left").filter("a < b")
     pairs = by_gram.unionByName(by_letters.select("a", "b")).distinct()
     distance = F.levenshtein("a", "b", edits)
     return pairs.withColumn("distance", distance.cast("long")).filter(F.col("distance") >= 0)
@@ -125,12 +134,12 @@ def match_similar(
     usable = F.array(*[F.when(enough(similarity, s), F.lit(i)) for i, s in enumerate(sets)])
     pairs = explode_rows(pairs, usable, "fields", "a", "b")
     side = lambda c: groups.select(F.col("name").alias(c), "fields", "values", F.col("low").alias(f"low_{c}"))
-    met = pairs.join(side("a"), ["a", "fields"]).join(side("b"), ["b", "fields", "values"])
+    met = pairs.join(_shuffled(side("a")), ["a", "fields"]).join(_shuffled(side("b")), ["b", "fields", "values"])
 
     node = lambda n: F.to_json(F.array(F.col(n), F.col("fields").cast("string"), F.col("values")))
     # Sets that suffice for similar names suffice for equal ones, so all records of a group that is met belong together.
     touched = met.select(F.col("a").alias("name"), "fields", "values").union(met.select("b", "fields", "values")).distinct()
-    members = held.join(touched, ["name", "fields", "values"], "left_semi").unionByName(same)
+    members = held.join(_shuffled(touched), ["name", "fields", "values"], "left_semi").unionByName(same)
     links = members.select("_id", node("name").alias("_node")).unionByName(met.select(F.col("low_a").alias("_id"), node("b").alias("_node")))
     return connected_records(records, record_id, links)
 
@@ -155,4 +164,4 @@ def golden_record_scored(
     checkpoint_root(records.sparkSession)
     kept = records.checkpoint()
     found = match_similar(kept, record_id, name, fields, name_weight, threshold, edits)
-    return survivorship(kept.join(found, record_id), "entity_id", preferred, columns)
+    return survivorship(kept.join(_shuffled(found), record_id), "entity_id", preferred, columns)

@@ -7,7 +7,7 @@ from itertools import combinations
 
 from pyspark.sql import functions as F
 
-from millrace.operators import maintained, similarity
+from millrace.operators import layout, maintained, similarity
 from millrace.operators.layout import plan_text
 from tests.conftest import rows
 
@@ -127,3 +127,11 @@ def test_quantiles_are_within_the_error(spark):
     for share in (0.1, 0.5, 0.99):
         exact = sorted(values)[max(0, -int(-share * len(values) // 1) - 1)]
         assert abs(maintained.quantile(state, KEYS, share).first()["quantile"] - exact) <= 0.011 * exact
+
+
+def test_rows_made_of_names_are_never_broadcast(spark):
+    """Each name becomes a hundred rows and more, which Spark's estimate of a table leaves out."""
+    names = spark.createDataFrame([("the river bank",), ("the river banks",), ("ab",), ("abc",)], "name string")
+    found = similarity.similar_names(names)
+    assert layout.plan_counts(found)["BroadcastHashJoin"] == 0
+    assert rows(found) == [("ab", "abc", 1), ("the river bank", "the river banks", 1)]
