@@ -1,9 +1,12 @@
-"""What is trending, with state that does not grow with the number of different items.
+"""What is trending, from summaries of slides that merge with each other.
 
-The stream keeps one summary of frequent items per slide, which partial aggregation fills before the state store and which
-merges with others. A sliding window is the merger of its slides, and a decayed score weighs slides by age; both are made
-when they are read. Of a window with N events an item's count is off by at most 3.5 N / ``tracked``, so every item with more
-than that is found; with fewer than three quarters of ``tracked`` different items per window all counts are exact.
+The stream keeps the count of every item per slide: partial aggregation fills it before the state store, items of a slide are
+spread over all tasks, and a slide leaves the state when the watermark has passed it. A sliding window is the merger of its
+slides, and a decayed score weighs slides by age; both are made when they are read, and both are exact.
+
+Only who gives ``tracked`` gets one sketch of frequent items per slide instead, whose state does not grow with the number of
+different items. Of a window with N events an item's count is then off by at most 3.5 N / ``tracked``; with fewer than three
+quarters of ``tracked`` different items per window all counts are exact.
 """
 
 from __future__ import annotations
@@ -15,18 +18,25 @@ from pyspark.sql import functions as F
 
 from millrace.operators.windows import top_n_per_group
 
+#: Items that are read from a sketch.
 TRACKED = 1000
 
 
-def slide_summaries(stream: DataFrame, ts: str, slide: str, delay: str, item: str, tracked: int = TRACKED) -> DataFrame:
-    """``window_start, window_end, summary`` of each slide; one state row per slide within the watermark."""
-    summary = F.expr(f"approx_top_k_accumulate(`{item}`, {tracked})").alias("summary")
-    grouped = stream.withWatermark(ts, delay).groupBy(F.window(ts, slide).alias("w")).agg(summary)
-    return grouped.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "summary")
+def slide_summaries(stream: DataFrame, ts: str, slide: str, delay: str, item: str, tracked: int | None = None) -> DataFrame:
+    """``window_start, window_end, item, n``: all items of each slide with their exact counts, keyed by slide and item.
+
+    With ``tracked`` it is ``window_start, window_end, summary``, a sketch and one state row per slide within the watermark."""
+    window, watermarked = F.window(ts, slide).alias("w"), stream.withWatermark(ts, delay)
+    if tracked is None:
+        grouped, found = watermarked.groupBy(window, F.col(f"`{item}`").alias("item")).agg(F.count(F.lit(1)).alias("n")), ["item", "n"]
+    else:
+        summary = F.expr(f"approx_top_k_accumulate(`{item}`, {tracked})").alias("summary")
+        grouped, found = watermarked.groupBy(window).agg(summary), ["summary"]
+    return grouped.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *found)
 
 
 def _items(summaries: DataFrame, keys: Sequence[str], item: str, tracked: int) -> DataFrame:
-    """All items that the summaries hold, at most ``tracked`` of each."""
+    """All items that the sketches hold, at most ``tracked`` of each."""
     found = F.inline(F.expr(f"approx_top_k_estimate(summary, {tracked})"))
     return summaries.select(*keys, found).withColumnsRenamed({"item": item, "count": "n"})
 
@@ -35,10 +45,15 @@ def sliding_top(summaries: DataFrame, slide: str, slides: int, item: str, n: int
     """``window_start, window_end, item, n, rn``: the ``n`` most frequent items of every window of so many slides, one window
     for each slide, those at both ends included; equal counts by item."""
     step = F.expr(f"INTERVAL {slide}")
-    starts = F.explode(F.array(*[F.col("window_start") - step * i for i in range(slides)]))
-    each = summaries.select(starts.alias("window_start"), "summary")
-    merged = each.groupBy("window_start").agg(F.expr(f"approx_top_k_combine(summary, {tracked})").alias("summary"))
-    items = _items(merged, ["window_start", (F.col("window_start") + step * slides).alias("window_end")], item, tracked)
+    starts = F.explode(F.array(*[F.col("window_start") - step * i for i in range(slides)])).alias("window_start")
+    end = (F.col("window_start") + step * slides).alias("window_end")
+    if "summary" in summaries.columns:
+        merged = summaries.select(starts, "summary").groupBy("window_start")
+        merged = merged.agg(F.expr(f"approx_top_k_combine(summary, {tracked})").alias("summary"))
+        items = _items(merged, ["window_start", end], item, tracked)
+    else:
+        counts = summaries.select(starts, F.col("item").alias(item), "n").groupBy("window_start", item)
+        items = counts.agg(F.sum("n").alias("n")).select("window_start", end, item, "n")
     return top_n_per_group(items, ["window_start"], [F.desc("n"), F.asc(item)], n)
 
 
@@ -50,6 +65,7 @@ def decayed_top(summaries: DataFrame, at: Column, half_life: str, item: str, n:
     life = seconds(epoch + F.expr(f"INTERVAL {half_life}")) - seconds(epoch)
     age = seconds(at.cast("timestamp")) - seconds(F.col("window_end").cast("timestamp"))
     weight = F.pow(F.lit(0.5), age / life).alias("weight")
-    items = _items(summaries.filter(age >= 0), [weight], item, tracked)
+    past = summaries.filter(age >= 0)
+    items = _items(past, [weight], item, tracked) if "summary" in summaries.columns else past.select(weight, F.col("item").alias(item), "n")
     scores = items.groupBy(item).agg(F.sum(F.col("n") * F.col("weight")).alias("score"))
     return scores.orderBy(F.desc("score"), F.asc(item)).limit(n)

@@ -6,7 +6,9 @@ import random
 from collections import Counter
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from millrace.plans.catalog import QUERIES
 from millrace.streaming import streams as S
 from millrace.streaming import trending
 from tests.conftest import rows
@@ -54,3 +56,32 @@ def test_few_items_are_counted_exactly_and_decay(spark, tmp_path):
     assert [(x.item, round(x.score, 6)) for x in best] == sorted(want.items(), key=lambda x: -x[1])[:2]
     early = trending.decayed_top(found, F.lit("2024-01-01 06:00:00"), "6 hours", "item", 1).first()
     assert (early.item, early.score) == counts[0].most_common(1)[0]
+
+
+def test_rare_items_are_counted_exactly(spark, tmp_path):
+    """Far more items than a sketch tracks, with counts that differ by one: without a limit none is left out."""
+    data = events(20_000) + [(7 + i / 10_000, f"near{i % 3000}") for i in range(3000 * 4 + 2)]
+    summaries(spark, tmp_path, data, None)
+    schema = "window_start timestamp, window_end timestamp, item string, n long"
+    found = S.read_change_log(spark, f"{tmp_path}/log", T.StructType.fromDDL(schema), ["window_start", "item"])
+    for start, group in ((0, "2024-01-01 00:00:00"), (6, "2024-01-01 06:00:00"), (12, "2024-01-01 12:00:00")):
+        inside = Counter(item for h, item in data if start <= h < start + 12)
+        want = sorted(inside.items(), key=lambda x: (-x[1], x[0]))[:500]
+        top = trending.sliding_top(found, "6 hours", 2, "item", 500).filter(F.col("window_start") == F.lit(group).cast("timestamp"))
+        assert [(x.item, x.n) for x in top.orderBy("rn").collect()] == want
+    counts = [Counter(item for h, item in data if 6 * i <= h < 6 * i + 6) for i in range(3)]
+    scores = {w: counts[2][w] + counts[1][w] / 2 + counts[0][w] / 4 for w in set().union(*counts)}
+    best = trending.decayed_top(found, F.lit("2024-01-01 18:00:00"), "6 hours", "item", 500).collect()
+    assert [(x.item, x.score) for x in best] == sorted(scores.items(), key=lambda x: (-x[1], x[0]))[:500]
+
+
+def test_query_finds_the_first_of_very_many_users(spark, tmp_path):
+    """Every user has one event in the first slide but the last three, who have two."""
+    users = [*range(5000), 4997, 4998, 4999]
+    made = spark.createDataFrame([(i, u) for i, u in enumerate(users)], "event_id long, user_id long")
+    ts = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("event_id")).cast("timestamp_ntz").alias("ts")
+    made.select("event_id", ts, "user_id", F.lit("x").alias("event_type"), F.lit(1.0).alias("value"), F.lit("").alias("props")).repartition(
+        3
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    found = QUERIES["stream_sliding_trending"](spark, str(tmp_path))
+    assert rows(found, "user_id", "n", "rn") == sorted([(4997, 2, 1), (4998, 2, 2), (4999, 2, 3)] * 2)
