@@ -1,9 +1,10 @@
 """Matching of records whose names are similar, not equal.
 
-Names within a few edits of each other share one of their rarest q-grams, at nearly the same place and with nearly the
-same length. So names meet under (gram, length, place) only, for a few grams each, and no block of names is compared in
-all pairs. Short names, which edits may leave without a common gram, meet under what is left of them after deletions.
-Equal names are one name before any of this; records are linked to names and field values, never to each other.
+A few edits leave at least one of a few more grams untouched that do not overlap, at nearly the same place. So a name is
+filed under the rarest such grams only, the other name looks under its own rare grams, and no block of names is compared in
+all pairs. Grams run over both ends of a name, so that its first and last letters count as others do. Short names, which
+edits may leave without a common gram, meet under what is left of them after deletions. Equal names are one name before any
+of this; records are linked to names and field values, never to each other.
 """
 
 from __future__ import annotations
@@ -18,9 +19,9 @@ from millrace.functions.collections import explode_rows
 from millrace.operators.entities import connected_records, survivorship
 from millrace.session import checkpoint_root
 
-GRAM = 2
-#: Different grams whose counts are sent to every task.
-BROADCAST_GRAMS = 100_000
+GRAM = 5
+#: Grams are counted by hash; at most so many counts are sent to every task. Fuller counts only make the order of grams coarser.
+GRAM_COUNTS = 1 << 20
 
 
 def _shuffled(df: DataFrame) -> DataFrame:
@@ -34,20 +35,53 @@ def normal_name(name: Column) -> Column:
     return F.nullif(F.trim(F.regexp_replace(F.lower(name), r"\s+", " ")), F.lit(""))
 
 
-def _rare_grams(names: DataFrame, edits: int) -> DataFrame:
-    """``name, size, gram, at``: the grams of a name by ascending frequency, as many as ``edits`` edits can spoil and one
-    more, with all places of the last of them."""
-    places = F.sequence(F.lit(1), F.length("name") - GRAM + 1)
-    grams = F.transform(places, lambda i: F.struct(F.substring("name", i, F.lit(GRAM)).alias("gram"), i.alias("at")))
-    rows = explode_rows(names.filter(F.length("name") >= GRAM), grams, "g", "name").select("name", "g.*")
-    often = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("often")).checkpoint()
-    often = F.broadcast(often) if often.count() <= BROADCAST_GRAMS else _shuffled(often)
+def _least_grams(edits: int) -> int:
+    """So many letters have more grams than ``edits`` edits can spoil."""
+    return (edits - 1) * GRAM + 2
+
+
+def _apart(rare: Column, edits: int) -> Column:
+    """One more of the grams than there are edits, none overlapping another, together the rarest. Of all grams that edits can
+    spoil and one more there are always so many."""
+    chains = F.transform(rare, lambda g: F.struct(g.often.alias("often"), g["at"].alias("at"), F.array(g).alias("grams")))
+
+    def longer(found: Column, _: Column) -> Column:
+        def best(first: Column) -> Column:
+            rest = F.array_min(F.filter(found, lambda c: c["at"] >= first["at"] + GRAM))
+            put = lambda c: F.struct((first.often + c.often).alias("often"), first["at"].alias("at"), F.concat(first.grams, c.grams).alias("grams"))
+            return F.transform(F.array_compact(F.array(rest)), put)
+
+        return F.flatten(F.transform(chains, best))
+
+    steps = F.array(*[F.lit(i) for i in range(edits)]).cast("array<int>")
+    return F.array_min(F.aggregate(steps, chains, longer))["grams"]
+
+
+def _named_grams(names: DataFrame, edits: int) -> DataFrame:
+    """``name, size, rare, apart``: the grams of a name by ascending frequency, as many as ``edits`` edits can spoil and one
+    more, with all places of the last of them; and of these the rarest that do not overlap."""
+    edge = F.lit("#" * (GRAM - 1))
+    places = F.sequence(F.lit(1), F.length("name") + GRAM - 1)
+    rows = names.filter(F.length("name") >= _least_grams(edits)).select("name", F.explode(places).alias("at"))
+    gram = F.xxhash64(F.substring(F.concat(edge, "name", edge), F.col("at"), F.lit(GRAM)))
+    rows = rows.select("name", "at", gram.alias("gram"), F.pmod(gram, F.lit(GRAM_COUNTS)).alias("slot"))
+    often = rows.groupBy("slot").agg(F.count(F.lit(1)).alias("often")).checkpoint()
     ranked = F.array_sort(F.collect_list(F.struct("often", "gram", "at"))).alias("ranked")
-    by_name = rows.join(often, "gram").groupBy("name").agg(ranked)
-    last = F.get("ranked", F.least(F.lit(edits * GRAM), F.size("ranked") - 1))
-    kept = F.filter("ranked", lambda g: F.struct(g.often, g.gram) <= F.struct(last.often, last.gram))
-    by_name = by_name.select("name", F.length("name").alias("size"), kept.alias("kept"))
-    return by_name.select("name", "size", F.explode("kept").alias("g")).select("name", "size", "g.gram", "g.at")
+    by_name = rows.join(F.broadcast(often), "slot").groupBy("name").agg(ranked)
+    # One step a column: what a lambda looks up is then not worked out again for each element.
+    by_name = by_name.select("name", "ranked", F.get("ranked", F.lit(edits * GRAM)).alias("last"))
+    rare = F.filter("ranked", lambda g: F.struct(g.often, g.gram) <= F.struct("last.often", "last.gram"))
+    by_name = by_name.select("name", F.length("name").alias("size"), rare.alias("rare"))
+    return by_name.select("name", "size", "rare", _apart(F.col("rare"), edits).alias("apart"))
+
+
+def _rare_grams(names: DataFrame, edits: int) -> DataFrame:
+    """``name, size, gram, at``: the grams that names are filed under."""
+    return _exploded(_named_grams(names, edits), "apart")
+
+
+def _exploded(grams: DataFrame, column: str) -> DataFrame:
+    return grams.select("name", "size", F.explode(column).alias("g")).select("name", "size", "g.gram", "g.at")
 
 
 def _without_letters(name: Column, edits: int) -> Column:
@@ -70,16 +104,21 @@ def similar_names(names: DataFrame, edits: int = 2) -> DataFrame:
     like no other."""
     names = names.select("name").filter(F.col("name").isNotNull()).distinct()
     checkpoint_root(names.sparkSession)
-    grams = _rare_grams(names, edits).checkpoint()
-    near = lambda c: F.explode(F.sequence(F.col(c) - edits, F.col(c) + edits)).alias(c)
-    around = grams.select(F.col("name").alias("b"), "gram", near("size"), "at").select("b", "gram", "size", near("at"))
-    by_gram = grams.withColumnRenamed("name", "a").join(_shuffled(around), ["gram", "size", "at"]).filter("a < b").select("a", "b")
-    short = names.filter(F.length("name") <= edits * GRAM + GRAM - 1 + edits)
+    grams = _named_grams(names, edits).checkpoint()
+    # Grams are put in one order for all names. Of two names within the edits, the one whose rare grams end earlier has a
+    # gram apart that the other has too, and there it is among the rare ones.
+    filed = _exploded(grams, "apart").withColumnsRenamed({"name": "a", "size": "size_a", "at": "at_a"})
+    sought = _exploded(grams, "rare").withColumnsRenamed({"name": "b", "size": "size_b", "at": "at_b"})
+    moved = F.col("at_b") - F.col("at_a")
+    near = F.abs(moved) + F.abs(F.col("size_b") - F.col("size_a") - moved) <= edits
+    by_gram = filed.join(_shuffled(sought), "gram").filter(near & (F.col("a") != F.col("b"))).select("a", "b")
+    short = names.filter(F.length("name") < _least_grams(edits) + edits)
     left = explode_rows(short, _without_letters(F.col("name"), edits), "left", "name")
     by_letters = left.withColumnRenamed("name", "a").join(_shuffled(left.withColumnRenamed("name", "b")), "left").filter("a < b")
-    pairs = by_gram.unionByName(by_letters.select("a", "b")).distinct()
-    distance = F.levenshtein("a", "b", edits)
-    return pairs.withColumn("distance", distance.cast("long")).filter(F.col("distance") >= 0)
+    distance = F.levenshtein("a", "b", edits).cast("long").alias("distance")
+    pairs = by_gram.unionByName(by_letters.select("a", "b"))
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), distance).filter(F.col("distance") >= 0)
+    return pairs.distinct()
 
 
 def name_similarity(distance: Column, a: Column, b: Column) -> Column:

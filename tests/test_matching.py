@@ -135,3 +135,24 @@ def test_rows_made_of_names_are_never_broadcast(spark):
     found = similarity.similar_names(names)
     assert layout.plan_counts(found)["BroadcastHashJoin"] == 0
     assert rows(found) == [("ab", "abc", 1), ("the river bank", "the river banks", 1)]
+
+
+def test_names_of_random_words_meet_few_others(spark):
+    """Twenty thousand names in one frame of words, with two random words of sixteen letters' alphabet each."""
+    r = random.Random(6)
+    word = lambda n: "".join(r.choice("abcdefghiklmnopr") for _ in range(n))
+    names = [f"the {word(8)} {word(6)} trading company" for _ in range(20_000)]
+    grams = similarity._rare_grams(spark.createDataFrame([(n,) for n in names], "name string"), 2)
+    met = grams.groupBy("gram").count().agg(F.sum(F.col("count") * F.col("count")).alias("n"), F.max("count").alias("most")).first()
+    assert met.n < 10 * len(names) and met.most < 100
+
+
+def test_names_around_the_length_of_a_gram_and_its_edges(spark):
+    """Lengths at which pairs pass from the letters that are left to grams, edits at both ends, and the letter that fills grams up."""
+    r = random.Random(7)
+    base = ["".join(r.choice("ab#") for _ in range(n)) for n in range(3, 15) for _ in range(4)]
+    names = {spoilt(r, b) for b in base for _ in range(4)} | {"x" + b for b in base} | {b + "#" for b in base} | {"#" * n for n in range(12)}
+    for limit in (1, 2, 3):
+        want = sorted((a, b, edits(a, b)) for a, b in combinations(sorted(names), 2) if edits(a, b) <= limit)
+        found = similarity.similar_names(spark.createDataFrame([(n,) for n in names], "name string"), limit)
+        assert rows(found) == sorted(want, key=lambda t: tuple((True, str(v)) for v in t))
