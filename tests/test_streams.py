@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 from millrace.operators.windows import sessionize
 from millrace.plans.catalog import QUERIES
 from millrace.streaming import streams as S
+from millrace.streaming.alerts import PARTITIONS, breach_alerts, rocksdb_state
 from tests.conftest import rows, same_rows
 
 SCHEMA = "id bigint, device int, ts timestamp, value double"
@@ -169,3 +171,42 @@ def test_alerts_run_in_a_session_with_another_state_store(spark, tmp_path):
         spark.conf.set(store, before)
         spark.conf.set("spark.sql.shuffle.partitions", parts)
     assert sorted(r.event_id for r in found) == [1, 3]
+
+
+def test_alerts_of_many_devices_take_few_state_rows(spark, tmp_path):
+    """Three deliveries that overlap, thousands of devices, one of them NULL, and ids that a float can't hold: the alerts of
+    one comparison over all readings, with state rows for shards of devices and not for each."""
+    r = random.Random(8)
+    devices = [None, *range(2**60, 2**60 + 20), *range(4000)]
+    made = [(i, r.randrange(12 * 3600), devices[i] if i < len(devices) else r.choice(devices[:60]), float(r.choice([5, 20]))) for i in range(9000)]
+    arrival = lambda i, at: min((at + (1800 if i % 13 == 0 else 0)) // 14400, 2)
+    inbox, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    start = datetime(2024, 1, 1)
+    for n in range(3):
+        part = [(i, start + timedelta(seconds=at), d, v) for i, at, d, v in made if arrival(i, at) == n] + ([(-1, None, 3, 20.0)] if n == 1 else [])
+        spark.createDataFrame(part, "id long, ts timestamp, device long, v double").write.mode("append").parquet(inbox)
+        stream = S.stream_files(spark, inbox, "id long, ts timestamp, device long, v double")
+        found = breach_alerts(stream, "device", "ts", "id", F.col("v") > 10, "1 hour", "2 hours")
+        with rocksdb_state(spark):
+            query = S.run_to_end(S.append_files(found, f"{out}/data"), f"{out}/checkpoint")
+        assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]) < 2000
+    want, last = [], {}
+    for i, at, d, v in sorted(made, key=lambda x: (x[1], x[0])):
+        was = last.get(d)
+        if v > 10 and not (was and was[1] > 10 and at - was[0] <= 7200):
+            want.append((i, at, d))
+        last[d] = (at, v)
+    mark = max(at for _, at, _, _ in made) - 3600
+    got = spark.read.schema(found.schema).parquet(f"{out}/data").collect()
+    assert sorted((x.id, int((x.ts - start).total_seconds()), x.device) for x in got) == sorted(x for x in want if x[1] <= mark)
+
+
+def test_streams_with_python_state_begin_with_few_partitions(spark):
+    before = spark.conf.get(PARTITIONS)
+    try:
+        spark.conf.set(PARTITIONS, "200")
+        with rocksdb_state(spark):
+            assert int(spark.conf.get(PARTITIONS)) == max(spark.sparkContext.defaultParallelism, 8)
+        assert spark.conf.get(PARTITIONS) == "200"
+    finally:
+        spark.conf.set(PARTITIONS, before)
